@@ -162,12 +162,14 @@ DAILY_BUILDERS = {
 }
 
 
-def all_gold(
+def table(
+    name: str,
     silver: DataFrame,
     batch_id: str,
     currency: str = S.DEFAULT_CURRENCY,
     at: dt.datetime | None = None,
-) -> dict[str, DataFrame]:
-    tables = {"ads_overview": overview(silver, batch_id, currency, at)}
-    tables.update({name: build(silver, at) for name, build in DAILY_BUILDERS.items()})
-    return tables
+) -> DataFrame:
+    """One gold table by name."""
+    if name == "ads_overview":
+        return overview(silver, batch_id, currency, at)
+    return DAILY_BUILDERS[name](silver, at)

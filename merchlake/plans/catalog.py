@@ -62,6 +62,18 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[cast(f) for f in kept])
 
 
+class Built(dict):
+    """Tables built when first asked for."""
+
+    def __init__(self, build: Callable[[str], DataFrame]) -> None:
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._build(name)
+        return self[name]
+
+
 @dataclasses.dataclass
 class Frames:
     """The frames of one build over derived raw tables. Nothing runs until a query does."""
@@ -94,7 +106,7 @@ class Frames:
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
-        return gold.all_gold(self.silver, self.batch_id, self.currency)
+        return Built(lambda name: gold.table(name, self.silver, self.batch_id, self.currency))
 
     @cached_property
     def tables(self) -> D.Tables:
