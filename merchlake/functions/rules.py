@@ -85,9 +85,14 @@ def fill_blank(text: Column, filler: str = S.UNKNOWN) -> Column:
     return F.coalesce(blank_to_null(text), F.lit(filler))
 
 
-def reject_rule(time_bad: Column, qty_bad: Column, price_bad: Column) -> Column:
-    """The first rule that discards the row, NULL for rows that stay."""
-    return F.when(time_bad, F.lit("R03")).when(qty_bad, F.lit("R04")).when(price_bad, F.lit("R05"))
+def reject_rule(time_bad: Column, qty_bad: Column, price_bad: Column, copies: Column) -> Column:
+    """The first rule that discards the row, NULL for rows that stay.
+
+    The copy count, never 0, ties the result to the de-duplicated row. A filter on it then stays
+    above that aggregate; pushed below, it would parse every copy once more before the exchange.
+    """
+    rule = F.when(time_bad, F.lit("R03")).when(qty_bad, F.lit("R04")).when(price_bad, F.lit("R05"))
+    return F.when(copies > 0, rule)
 
 
 def reject_text(rule: Column) -> Column:

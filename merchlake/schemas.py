@@ -230,6 +230,70 @@ JOB_LOG_COLUMNS = [
     "remark",
 ]
 
+SNAPSHOT_COLUMNS = [
+    "batch_id",
+    "compute_mode",
+    "start_time",
+    "end_time",
+    "duration_ms",
+    "clean_ms",
+    "raw_rows",
+    "silver_rows",
+    "reject_rows",
+    "gold_rows",
+    "trend_gmv",
+    "trend_valid_orders",
+]
+
+_COLUMN_TYPES = {
+    "stat_date": "date",
+    "run_date": "date",
+    "create_time": "timestamp",
+    "update_time": "timestamp",
+    "start_time": "timestamp",
+    "end_time": "timestamp",
+    "kpi_value": KPI_VALUE,
+    "gmv": GMV,
+    "trend_gmv": GMV,
+    "avg_order_amount": PAY,
+    "refund_rate": RATE,
+    "quality_score": RATE,
+    "sales_qty": "bigint",
+    "trend_valid_orders": "bigint",
+}
+
+
+def _ddl(columns: list[str]) -> str:
+    """Counts, rows and durations are bigint, whatever else is not listed is text."""
+
+    def kind(name: str) -> str:
+        if name in _COLUMN_TYPES:
+            return _COLUMN_TYPES[name]
+        return "bigint" if name.endswith(("_cnt", "_rows", "_ms")) else "string"
+
+    return ", ".join(f"{name} {kind(name)}" for name in columns)
+
+
+# Stored tables by name; declaring them keeps empty tables readable.
+TABLES: dict[str, str | T.StructType] = {
+    "ods_order_detail": all_strings([*ORDER_FIELDS, "batch_id"]),
+    "ods_product": all_strings([*PRODUCT_FIELDS, "batch_id"]),
+    "dwd_order_detail": SILVER,
+    "dwd_clean_reject": _ddl(REJECT_COLUMNS),
+    **{name: _ddl(columns) for name, columns in GOLD_COLUMNS.items()},
+    "ads_clean_stat": _ddl(CLEAN_STAT_COLUMNS),
+    "etl_job_log": _ddl(JOB_LOG_COLUMNS),
+    "etl_snapshot": _ddl(SNAPSHOT_COLUMNS),
+}
+
+
+def table_columns(name: str) -> list[str]:
+    declared = TABLES[name]
+    if isinstance(declared, str):
+        return [part.split()[0] for part in declared.split(", ")]
+    return declared.fieldNames()
+
+
 # Marketplace dump: six text tables.
 MARKET_FIELDS = {
     "orders": [

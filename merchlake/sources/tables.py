@@ -2,40 +2,38 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 
-# Tables that grow with the detail are laid out by day; the others are a handful of rows.
-BY_DAY = (
-    "dwd_order_detail",
-    "ads_category_stat",
-    "ads_product_stat",
-    "ads_channel_stat",
-    "ads_paytype_stat",
-    "ads_region_stat",
-    "ads_channel_category_stat",
-)
+from merchlake import schemas as S
+
+# Tables whose single days grow with the data. The other metric tables hold a row per day and
+# channel, province or category; a directory per day would hold next to nothing.
+BY_DAY = ("dwd_order_detail", "ads_product_stat")
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables as Parquet directories. ``by_day`` lists those partitioned by ``stat_date``."""
+    """The declared tables as Parquet directories. ``by_day`` lists those partitioned by
+    ``stat_date``, so that a date filter prunes directories and a rerun replaces days."""
 
     spark: SparkSession
     root: str
-    by_day: tuple[str, ...] = field(default=BY_DAY)
+    by_day: tuple[str, ...] = BY_DAY
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        stored = self.spark.read.schema(S.TABLES[table]).parquet(self.path(table))
+        # Partition columns come last in the files' order; hand out the declared one.
+        return stored.select(*S.table_columns(table))
 
-    def overwrite(self, table: str, df: DataFrame) -> int:
+    def overwrite(self, table: str, df: DataFrame) -> None:
         """Replace the whole table; running it twice leaves one copy."""
         self._write(table, df, "static")
-        return self.rows(table)
 
     def overwrite_days(self, table: str, df: DataFrame) -> None:
         """Replace only the days present in ``df``."""
@@ -43,8 +41,15 @@ class Warehouse:
             raise ValueError(f"{table} is not laid out by day")
         self._write(table, df, "dynamic")
 
+    def merge_days(self, table: str, df: DataFrame, start: str, end: str) -> None:
+        """Replace a range of days in a table without a layout by day."""
+        outside = ~F.col("stat_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        merged = self.read(table).where(outside).unionByName(df.select(*S.table_columns(table)))
+        # The table is about to be overwritten, so its rows are saved elsewhere first.
+        self._write(table, merged.checkpoint(), "static")
+
     def append(self, table: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path(table))
+        df.select(*S.table_columns(table)).write.mode("append").parquet(self.path(table))
 
     def rows(self, table: str) -> int:
         """Row count from the Parquet footers. Counting what was written, rather than adding up
@@ -52,17 +57,19 @@ class Warehouse:
         return self.read(table).count()
 
     def _write(self, table: str, df: DataFrame, mode: str) -> None:
-        writer = df.write
+        declared = df.select(*S.table_columns(table))
         if table in self.by_day:
             # Rows of a day meet in few tasks, so few files; adaptive execution splits a hot
             # day over several tasks and merges small ones.
-            writer = df.hint("rebalance", "stat_date").write.partitionBy("stat_date")
+            writer = declared.hint("rebalance", "stat_date").write.partitionBy("stat_date")
+        else:
+            writer = declared.write
         writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(self.path(table))
 
 
-def jdbc_writer(df: DataFrame, mode: str = "append", batch_size: int = 2000) -> DataFrameWriter:
+def jdbc_writer(df: DataFrame, batch_size: int = 2000) -> DataFrameWriter:
     return (
-        df.write.mode(mode)
+        df.write.mode("append")
         .option("batchsize", batch_size)
         .option("isolationLevel", "READ_COMMITTED")
     )
@@ -81,4 +88,4 @@ def write_jdbc(
     ``connections`` limits how many tasks write at once.
     """
     out = df.coalesce(connections) if connections else df
-    jdbc_writer(out, batch_size=batch_size).jdbc(url, table, properties=properties)
+    jdbc_writer(out, batch_size).jdbc(url, table, properties=properties)
