@@ -312,7 +312,7 @@ EXPORT_HEADERS = {
 
 def order_export(tables: Tables, query: AnalysisQuery) -> DataFrame:
     """Up to ``export_limit`` order lines, newest first, as text under the export's headers.
-    Write it with ``sources.files.write_csv``."""
+    Write it with ``sources.files.export_csv``."""
     rows = tables.silver.where(Q.detail_filter(query)).select(*DETAIL_COLUMNS)
     first = rows.orderBy(*_newest_first()).limit(query.export_limit)
     flag = F.when(F.col("is_valid_order") == 1, F.lit("有效")).otherwise(F.lit("无效"))
