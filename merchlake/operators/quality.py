@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlake import schemas as S
 
-JOB_NAME = "sales-offline-analysis"
+JOB_NAME = "merchlake-build"
 
 # Rule, what it finds, what happens to the row, its counter.
 RULE_TABLE = [
@@ -32,7 +32,7 @@ FUNNEL_STEPS = [
 ]
 
 
-def _score(kept: str, raw: str):
+def _score(kept: str, raw: str) -> Column:
     share = F.col(kept).cast("decimal(20,0)") / F.col(raw).cast("decimal(20,0)")
     return F.when(F.col(raw) > 0, F.round(share, 4)).otherwise(F.lit(0)).cast(S.RATE)
 

@@ -101,6 +101,7 @@ def consistency(
     )
     metrics = ["detail_gmv", "detail_qty", "detail_orders"]
     metrics += ["trend_gmv", "trend_qty", "trend_orders", "category_gmv"]
+    # The names of the checks, here and in ``reconcile_levels``.
     checks = [
         ("GMV 合计", "trend_gmv", "detail_gmv", "0.01", currency),
         ("销售件数合计", "trend_qty", "detail_qty", "0", "件"),
@@ -110,6 +111,13 @@ def consistency(
     return check_rows(spread(stacked, metrics), checks, ("item", "ads_value", "detail_value"))
 
 
+def row_counts(tables: dict[str, DataFrame], metric: str) -> DataFrame:
+    """Rows of several tables added up to one fact."""
+    n = F.count(F.lit(1)).alias("n")
+    counts = stack(*[df.agg(n) for df in tables.values()])
+    return facts(counts.agg(F.sum("n").alias("n")), **{metric: F.col("n")})
+
+
 # --- build against build --------------------------------------------------------------------
 
 SNAPSHOT_METRICS = ["silver_rows", "reject_rows", "trend_gmv", "trend_valid_orders"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,14 @@ class Frames:
         return sql_build.daily_gold(self.spark, self.sql_silver)
 
 
+class BuildSide(NamedTuple):
+    """One of two builds in a comparison."""
+
+    prefix: str
+    mode: str
+    place: int
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -539,6 +548,39 @@ def build_differences(f: Frames) -> DataFrame:
     return reconcile.compare_tables(first, second, {"create_time", "update_time"})
 
 
+@on_frames
+def run_log(f: Frames) -> DataFrame:
+    """The log of one run of both builds. Times are left out of the answer."""
+    a, b = _both_snapshots(f)
+    raw = reconcile.facts(f.counters, raw_rows=F.col("raw_cnt"))
+    sides = {
+        BATCH: (BuildSide("a_", "DATAFRAME", 0), a, f.gold),
+        SECOND_BATCH: (BuildSide("b_", "SQL", 1), b, {**f.sql_gold, "ads_overview": f.gold["ads_overview"]}),
+    }
+    snapshots = []
+    for batch, (side, snapshot, tables) in sides.items():
+        counted = reconcile.row_counts({name: tables[name] for name in S.GOLD_COLUMNS}, "gold_rows")
+        metrics = ["raw_rows", f"{side.prefix}silver_rows", "gold_rows"]
+        row = reconcile.spread(reconcile.stack(raw, snapshot, counted), metrics)
+        snapshots.append(
+            row.select(
+                F.lit(batch).alias("batch_id"),
+                F.lit(side.mode).alias("compute_mode"),
+                F.lit(side.place).alias("start_time"),
+                F.lit(side.place + 1).alias("end_time"),
+                F.lit(0).alias("duration_ms"),
+                F.lit(0).alias("clean_ms"),
+                F.col("raw_rows").cast("bigint").alias("raw_rows"),
+                F.col(f"{side.prefix}silver_rows").cast("bigint").alias("silver_rows"),
+                F.col("gold_rows").cast("bigint").alias("gold_rows"),
+            )
+        )
+    log = quality.job_log_rows(reconcile.stack(*snapshots), reconcile.compare_builds(a, b))
+    return quality.job_logs(log).select(
+        "batch_id", "job_name", "compute_mode", "input_rows", "output_rows", "job_status"
+    )
+
+
 def _market_frames(m: dict[str, DataFrame]) -> tuple[DataFrame, Frames]:
     """The converted orders and a build over them."""
     converted = marketplace.convert_orders(m)
@@ -576,7 +618,7 @@ def market_pass_rate(m: dict[str, DataFrame]) -> DataFrame:
 
 @on_frames
 def latest_quality(f: Frames) -> DataFrame:
-    """The latest of two batches: the converted lines alone, then with the rejects left out."""
+    """The later of two batches: the raw rows, then silver cleansed once more."""
     first = quality.clean_stat(f.counters, BATCH)
     kept = cleanse.stage(f.silver.select(*[F.col(c).cast("string") for c in S.ORDER_FIELDS]))
     second = quality.clean_stat(cleanse.rule_counters(kept, f.raw_products), SECOND_BATCH)
@@ -621,7 +663,7 @@ def csv_scan_marketplace(m: dict[str, DataFrame]) -> DataFrame:
 
 
 def _warehouse(f: Frames) -> Warehouse:
-    # Months rather than days of small test data would make one file per day; keep single tables.
+    # A day of the test data is a handful of rows, so no layout by day.
     return Warehouse(f.spark, scratch_path(f.spark, "tables"), by_day=())
 
 

@@ -533,6 +533,18 @@ COMPARE = (
     + ", '' AS differences, 'PASS' AS verdict"
 )
 
+GOLD_ROWS = " + ".join(
+    f"(SELECT count(*) FROM (SELECT DISTINCT {keys} FROM silver))" for keys in DAILY_KEYS.values()
+)
+RUN_LOG = tall(
+    [
+        f"SELECT '{batch}' AS batch_id, '{quality.JOB_NAME}' AS job_name, '{mode}' AS compute_mode, "
+        f"(SELECT raw_cnt FROM counters) AS input_rows, "
+        f"(SELECT count(*) FROM silver) + {GOLD_ROWS} + {len(S.KPIS)} AS output_rows, 'SUCCESS' AS job_status"
+        for batch, mode in ((C.BATCH, "DATAFRAME"), (C.SECOND_BATCH, "SQL"))
+    ]
+)
+
 VALUE_LISTS = " UNION ALL ".join(
     f"SELECT DISTINCT '{kind}' AS kind, {column} AS value FROM silver WHERE {column} <> ''"
     for kind, (_, column) in C.D.FILTER_VALUES.items()
@@ -649,6 +661,7 @@ ON_BASE: dict[str, str] = {
     "metric_sheet": f"SELECT * FROM (WITH m AS ({measures_row()}) {SHEET})",
     "build_compare": COMPARE,
     "build_differences": DIFFERENCES,
+    "run_log": RUN_LOG,
     "latest_quality": f"""SELECT {STAT.format(batch=C.SECOND_BATCH)} FROM (
         SELECT (SELECT count(*) FROM silver) AS raw_cnt, CAST(0 AS BIGINT) AS null_field_cnt,
                (SELECT count(*) FROM silver) - count(*) AS dup_record_cnt, CAST(0 AS BIGINT) AS invalid_time_cnt,
