@@ -8,7 +8,10 @@ import pytest
 
 from merchlake import schemas as S
 from merchlake.operators import marketplace, reconcile
+from merchlake.plans import etl
 from merchlake.plans.catalog import Frames
+from merchlake.sources import files
+from merchlake.sources.tables import Warehouse
 
 
 def rows_of(name, *rows):
@@ -102,6 +105,26 @@ def test_orders_without_items(market):
     ]
 
 
+def test_import_feeds_the_batch_job(spark, market, folder):
+    paths = {name: f"{folder}/raw/{name}" for name in market}
+    for name, df in market.items():
+        files.write_csv(df, paths[name])
+    written = etl.import_marketplace(spark, paths, f"{folder}/converted")
+    orders = files.scan_orders(spark, written["ods_order_detail"])
+    products = files.scan_products(spark, written["ods_product"])
+    expected = marketplace.convert_orders(market)
+    assert reconcile.differing_rows(orders, expected).count() == 0
+    warehouse = Warehouse(spark, f"{folder}/tables")
+    etl.run(warehouse, orders, products, currency="BRL")
+    kpis = {r["kpi_code"]: r for r in warehouse.read("ads_overview").collect()}
+    # Only o1 is valid: 20.00 + 5.55.
+    assert (kpis["GMV"]["kpi_value"], kpis["GMV"]["kpi_unit"]) == (Decimal("25.5500"), "BRL")
+    assert kpis["ORDER_CNT"]["kpi_value"] == 4
+    stat = warehouse.read("ads_clean_stat").first()
+    # No payment, unknown payment and a blank state are blanks; p9 is in no product row.
+    assert (stat["null_field_cnt"], stat["missing_dim_cnt"], stat["invalid_status_cnt"]) == (3, 1, 1)
+
+
 def test_levels_reconcile(market):
     converted = marketplace.convert_orders(market)
     f = Frames(converted.sparkSession, converted, marketplace.convert_products(market), "B", "BRL")

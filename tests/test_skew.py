@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from contextlib import contextmanager
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import order_line, orders_frame, products_frame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from merchlake import schemas as S
 from merchlake.functions.measures import rollup_measures
 from merchlake.operators import cleanse, gold, marketplace
+from merchlake.sources.tables import Warehouse
 
 
 @contextmanager
@@ -171,3 +173,23 @@ def test_main_payment_of_a_hot_order(spark):
     # One candidate per order survives each task, before and after the exchange.
     assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
     assert {r["order_id"]: r["payment_type"] for r in got.collect()} == {k: v[2] for k, v in best.items()}
+
+
+def test_hot_day_is_written_by_several_tasks(spark, folder):
+    """Two thirds of the rows on one day: its directory gets several files. Quiet days get one,
+    unless they hash to the same partition."""
+    day = F.when(F.col("id") % 3 > 0, F.lit("2026-01-01")).otherwise(
+        F.concat(F.lit("2026-02-0"), F.col("id") % 9 + 1)
+    )
+    values = {"stat_date": day.cast("date"), "order_id": F.sha2(F.col("id").cast("string"), 512)}
+    rows = spark.range(0, 30_000, 1, 8).select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.SILVER.fields]
+    )
+    warehouse = Warehouse(spark, folder)
+    with conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="500KB"):
+        warehouse.overwrite("dwd_order_detail", rows)
+    days = Path(warehouse.path("dwd_order_detail")).glob("stat_date=*")
+    files = {day.name: len(list(day.glob("part-*"))) for day in days}
+    assert files.pop("stat_date=2026-01-01") > 1
+    assert 1 in files.values()
+    assert warehouse.rows("dwd_order_detail") == 30_000
