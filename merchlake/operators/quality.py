@@ -131,6 +131,7 @@ def job_log_rows(snapshots: DataFrame, verdict: DataFrame) -> DataFrame:
     last = snapshots.agg(F.max("start_time")).scalar()
     outcome = verdict.select("verdict").scalar()
     published = F.when(F.col("start_time") == last, F.lit("是")).otherwise(F.lit("否"))
+    # The words of the remark.
     remark = F.concat(
         F.lit("清洗耗时 "),
         F.col("clean_ms"),

@@ -20,6 +20,8 @@ def build_session(app: str = "merchlake", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # A hot product or order key is split even where that costs one more exchange.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Row numbering leaves small checkpoints behind; drop them with their frames.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:

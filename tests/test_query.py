@@ -162,3 +162,21 @@ def test_date_filter_reaches_the_scan(spark, folder):
     assert "EqualTo(channel,APP商城)" in plan
     assert "ReadSchema: struct<channel:string,pay_amount:decimal(14,2),is_valid_order:int>" in plan
     assert [r[0] for r in picked.collect()] == [Decimal("100.00")]
+
+
+def test_ratios_round_half_up_like_decimals(spark):
+    import random
+    from decimal import ROUND_HALF_UP
+
+    from merchlake.functions.measures import ratio
+
+    rng = random.Random(11)
+    pairs = [(Decimal(rng.randrange(10**9)) / 100, rng.randrange(0, 400)) for _ in range(500)]
+    pairs += [(Decimal("0.05"), 10), (Decimal("1.005"), 1), (Decimal("100.01"), 2), (Decimal("7"), 0)]
+    frame = spark.createDataFrame(pairs, "a decimal(24,3), b long")
+    for digits in (2, 4):
+        got = frame.select("a", "b", ratio(F.col("a"), F.col("b"), digits).alias("r")).collect()
+        unit = Decimal(1).scaleb(-digits)
+        for r in got:
+            expected = (r["a"] / r["b"]).quantize(unit, ROUND_HALF_UP) if r["b"] else Decimal(0)
+            assert r["r"] == expected, r
