@@ -89,11 +89,34 @@ def ranked_shares(groups: DataFrame, key: str, limit: int | None) -> DataFrame:
     )
 
 
-def page_rows(df: DataFrame, order: list[Column], page: int, size: int) -> DataFrame:
-    """One page of the sorted rows. Pages near the top come from a bounded top-k, deeper ones
-    from a distributed numbering of all rows."""
-    start = (page - 1) * size
-    if start + size <= TOP_K_ROWS:
-        return df.orderBy(*order).offset(start).limit(size)
-    numbered = number_rows(df, order, "_no")
-    return numbered.where(F.col("_no").between(start + 1, start + size)).drop("_no")
+def days_of(df: DataFrame, day: str, start: int, end: int) -> tuple[Column, Column, Column]:
+    """Which days hold rows ``start`` to ``end`` of ``df``, newest day first: the newest and the
+    oldest of them, and how many rows are newer than those days. NULL past the last row.
+
+    Counting per day reads the filter columns only; a table laid out by day then opens no more
+    than the days named.
+    """
+    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
+    newer = Window.orderBy(F.desc(day)).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per calendar day meets in one task here.
+    placed = per_day.withColumn("_before", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+    held = placed.where((F.col("_before") < end) & (F.col("_before") + F.col("_rows") > start))
+    return (
+        held.agg(F.max(day)).scalar(),
+        held.agg(F.min(day)).scalar(),
+        held.agg(F.min("_before")).scalar(),
+    )
+
+
+def newest_rows(df: DataFrame, day: str, order: list[Column], start: int, size: int) -> DataFrame:
+    """``size`` rows after the first ``start`` in ``order``, which must begin with the newest day.
+
+    Rows near the top come from a bounded top-k; deeper ones from a distributed numbering of the
+    days that hold them.
+    """
+    end = start + size
+    newest, oldest, before = days_of(df, day, start, end)
+    if start == 0 or end <= TOP_K_ROWS:
+        return df.where(F.col(day) >= oldest).orderBy(*order).offset(start).limit(size)
+    numbered = number_rows(df.where(F.col(day).between(oldest, newest)), order, "_no")
+    return numbered.where((F.col("_no") + before).between(start + 1, end)).drop("_no")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from merchlake import schemas as S
 from merchlake.functions.measures import rollup_measures
 from merchlake.operators import gold as G
-from merchlake.operators.ranking import page_rows, ranked_shares, top_ranked
+from merchlake.operators.ranking import newest_rows, ranked_shares, top_ranked
 from merchlake.plans import query as Q
 from merchlake.plans.query import AnalysisQuery
 from merchlake.sources.tables import Warehouse
@@ -273,7 +273,8 @@ def _newest_first() -> list[Column]:
 def order_page(tables: Tables, query: AnalysisQuery) -> DataFrame:
     """One page of order lines, newest first; all columns break ties, so pages never overlap."""
     rows = tables.silver.where(Q.detail_filter(query)).select(*DETAIL_COLUMNS)
-    return page_rows(rows, _newest_first(), query.page_num, query.page_size)
+    start = (query.page_num - 1) * query.page_size
+    return newest_rows(rows, "stat_date", _newest_first(), start, query.page_size)
 
 
 def order_page_totals(tables: Tables, query: AnalysisQuery) -> DataFrame:
@@ -314,7 +315,7 @@ def order_export(tables: Tables, query: AnalysisQuery) -> DataFrame:
     """Up to ``export_limit`` order lines, newest first, as text under the export's headers.
     Write it with ``sources.files.export_csv``."""
     rows = tables.silver.where(Q.detail_filter(query)).select(*DETAIL_COLUMNS)
-    first = rows.orderBy(*_newest_first()).limit(query.export_limit)
+    first = newest_rows(rows, "stat_date", _newest_first(), 0, query.export_limit)
     flag = F.when(F.col("is_valid_order") == 1, F.lit("有效")).otherwise(F.lit("无效"))
     texts = {
         "order_time": F.date_format("order_time", "yyyy-MM-dd HH:mm:ss"),

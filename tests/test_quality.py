@@ -158,3 +158,13 @@ def test_jdbc_options(spark, staged):
 
     jdbc_writer(Frame())
     assert options == {"mode": "append", "batchsize": 2000, "isolationLevel": "READ_COMMITTED"}
+
+
+def test_scratch_tables_go_to_the_named_folder():
+    from types import SimpleNamespace
+
+    from merchlake.session import scratch_path
+
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs://shared/scratch/"))
+    first, second = scratch_path(named, "t"), scratch_path(named, "t")
+    assert first.startswith("hdfs://shared/scratch/t-") and first != second

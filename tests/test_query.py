@@ -139,14 +139,31 @@ def test_row_numbers_over_many_partitions(spark):
 
 
 def test_deep_pages_agree_with_shallow_ones(spark, monkeypatch):
-    frame = spark.range(0, 1000, 1, 5).select((F.col("id") * 37 % 1009).alias("v"))
-    for page in (1, 2, 7, 20, 21):
-        shallow = ranking.page_rows(frame, [F.asc("v")], page, 50).collect()
-        monkeypatch.setattr(ranking, "TOP_K_ROWS", 60)
-        deep = ranking.page_rows(frame, [F.asc("v")], page, 50).collect()
+    """Days of very different sizes, one of them with a third of the rows."""
+    values = [(0 if i % 3 == 0 else 1 + i * i % 7, i * 37 % 1009) for i in range(1000)]
+    frame = spark.createDataFrame(values, "day int, v int").repartition(5)
+    order = [F.desc("day"), F.asc("v")]
+    expected = sorted(values, key=lambda r: (-r[0], r[1]))
+    for start in (0, 50, 300, 666, 950, 990, 1000):
+        shallow = ranking.newest_rows(frame, "day", order, start, 50)
+        assert [tuple(r) for r in shallow.collect()] == expected[start : start + 50]
+        monkeypatch.setattr(ranking, "TOP_K_ROWS", 0)
+        deep = ranking.newest_rows(frame, "day", order, start, 50)
         monkeypatch.undo()
-        assert sorted(deep) == sorted(shallow)
-        assert len(deep) == (50 if page <= 20 else 0)
+        assert sorted(map(tuple, deep.collect())) == sorted(expected[start : start + 50])
+
+
+def test_newest_rows_open_their_days_only(spark, folder):
+    from merchlake.sources.tables import Warehouse
+
+    lines = [order_line(order_id=str(i), order_time=f"2026-01-{i:02d} 10:00:00") for i in range(1, 10)]
+    warehouse = Warehouse(spark, folder)
+    warehouse.overwrite("dwd_order_detail", lazy_tables(spark, lines).silver)
+    page = D.order_page(D.Tables(warehouse.read("dwd_order_detail"), {}), AnalysisQuery(page_size=2))
+    assert [r["order_id"] for r in page.collect()] == ["9", "8"]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "order_time" in line)
+    assert "PartitionFilters: [isnotnull(stat_date" in scan and "subquery" in scan.lower()
 
 
 def test_date_filter_reaches_the_scan(spark, folder):
