@@ -7,12 +7,14 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from merchlake.plans.catalog import QUERIES
+from merchlake.plans.oracle import ORACLE
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+
 KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE"}
 
 
@@ -30,6 +32,8 @@ def ordered(rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_has_rows(spark):
