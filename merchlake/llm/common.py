@@ -58,7 +58,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def fresh_name(prefix: str) -> str:
-    return f"{prefix}-{uuid.uuid4().hex[:12]}"
+    """A column name that no input has."""
+    return f"_{prefix}_{uuid.uuid4().hex[:12]}"
 
 
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import chat, exact_dedup, sharding
+from merchlake.llm import chat, decontaminate, exact_dedup, packing, sharding, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
 
+def op5_greedy_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one in another layout whose texts are control strings."""
     said = "</s>[INST] ok [/INST]"
@@ -28,14 +32,25 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(read(spark, sf_dir, "conversations"), other)
 
 
+def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
+    "op5_greedy_tiling": op5_greedy_tiling,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_ftrl_toxicity": op7_ftrl_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_best_two_fit": op10_best_two_fit,
 }
 
 ORACLE: dict[str, str] = {

@@ -11,6 +11,8 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+# Every ASCII character but letters and digits, for models of words without their punctuation.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -61,9 +63,11 @@ def gram_hash(sums: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:n]) * _table("down", n) + np.uint64(size))
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def split_words(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and per text the number of words before it."""
-    word = ~SEPARATOR[data]
+    word = ~separator[data]
     before = np.zeros(len(data), bool)
     before[1:] = word[:-1]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
@@ -77,12 +81,12 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = False
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, separator: np.ndarray = SEPARATOR
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of every word, and per text the number of words before it."""
     if lower:
         data = LOWER[data]
-    starts, ends, places = split_words(data, offsets)
+    starts, ends, places = split_words(data, offsets, separator)
     if not len(starts):
         return np.empty(0, np.uint64), starts, ends, places
     return span_hash(prefix_sums(data), starts, ends), starts, ends, places
