@@ -148,7 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
 
     learnt = (
         sample.mapInArrow(extract, "_k long, _label int, _found binary")
-        .groupBy(F.lit(0))
+        .withColumn("_all", F.lit(0))
+        .groupBy("_all")
         .applyInArrow(fit, "_bucket int, _weight double")
         # At most one row per bucket.
         .toArrow()
