@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import chat, decontaminate, exact_dedup, packing, sharding, toxicity
+from merchlake.llm import chat, decontaminate, exact_dedup, minhash, packing, sharding, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
 
+def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op5_greedy_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -46,6 +50,7 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
+    "op4_bbit_minhash": op4_bbit_minhash,
     "op5_greedy_tiling": op5_greedy_tiling,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_ftrl_toxicity": op7_ftrl_toxicity,
