@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import chat, decontaminate, exact_dedup, minhash, packing, sharding, toxicity
+from merchlake.llm import chat, decontaminate, exact_dedup, minhash, packing, sharding, suffix_dedup, superkmer, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
 
+def op2_bucket_pointer_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -44,17 +49,24 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = superkmer.remove_later(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
+    "op2_bucket_pointer_refinement": op2_bucket_pointer_refinement,
     "op4_bbit_minhash": op4_bbit_minhash,
     "op5_greedy_tiling": op5_greedy_tiling,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_ftrl_toxicity": op7_ftrl_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_super_kmers": op9_super_kmers,
     "op10_best_two_fit": op10_best_two_fit,
 }
 
