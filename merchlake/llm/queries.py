@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import chat, decontaminate, exact_dedup, minhash, packing, sharding, suffix_dedup, superkmer, toxicity
+from merchlake.llm import chat, decontaminate, exact_dedup, line_dedup, minhash, packing, sharding, suffix_dedup, superkmer, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_bucket_pointer_refinement(spark: SparkSession, sf_dir: str) -> DataFrame
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.remove_aligned(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", "n_partners", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -61,6 +66,7 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
     "op2_bucket_pointer_refinement": op2_bucket_pointer_refinement,
+    "op3_patience_lines": op3_patience_lines,
     "op4_bbit_minhash": op4_bbit_minhash,
     "op5_greedy_tiling": op5_greedy_tiling,
     "op6_chat_formatting": op6_chat_formatting,
