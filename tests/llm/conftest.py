@@ -1,0 +1,6 @@
+"""Hypothesis without deadlines: the first call of a Spark or numpy path is slow."""
+
+from hypothesis import HealthCheck, settings
+
+settings.register_profile("llm", deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+settings.load_profile("llm")
