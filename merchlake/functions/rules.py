@@ -54,9 +54,10 @@ def expected_pay(qty: Column, price: Column, discount: Column) -> Column:
 
 
 def bad_amount(is_bad_qty: Column, is_bad_price: Column, pay: Column, expected: Column) -> Column:
-    """R06: paid amount absent or off by more than a cent. Also counts R04 and R05 rows."""
+    """R06: paid amount absent or off by more than a cent, or the expected one too large for its
+    column, which leaves the row without an amount. Also counts R04 and R05 rows."""
     off = F.abs(pay - expected) > F.lit(S.AMOUNT_TOLERANCE).cast("decimal(3,2)")
-    return is_bad_qty | is_bad_price | pay.isNull() | F.coalesce(off, F.lit(False))
+    return is_bad_qty | is_bad_price | pay.isNull() | expected.isNull() | F.coalesce(off, F.lit(False))
 
 
 def bad_status(status: Column) -> Column:
@@ -103,9 +104,9 @@ def reject_text(rule: Column) -> Column:
 
 
 def raw_trace() -> Column:
-    """A short trace of the raw record. NULL fields are skipped, as ``concat_ws`` does."""
+    """A trace of the raw record, whole. NULL fields are skipped, as ``concat_ws`` does."""
     fields = ("order_id", "order_time", "quantity", "unit_price", "pay_amount")
-    return F.substring(F.concat_ws("|", *fields), 1, 500)
+    return F.concat_ws("|", *fields)
 
 
 def month_key(ts: Column) -> Column:

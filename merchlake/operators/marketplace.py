@@ -81,7 +81,7 @@ def named_products(products: DataFrame, categories: DataFrame) -> DataFrame:
 def category_codes(named: DataFrame) -> DataFrame:
     """CAT001, CAT002, ... by category name in order."""
     names = named.select("category_name").distinct()
-    numbered = number_rows(names, [F.asc("category_name")], "seq")
+    numbered = number_rows(names, F.substring("category_name", 1, 3), [F.asc("category_name")], "seq")
     return numbered.select("category_name", F.format_string("CAT%03d", "seq").alias("category_id"))
 
 
@@ -165,7 +165,7 @@ def convert_products(tables: dict[str, DataFrame]) -> DataFrame:
     coded = coded_products(tables["products"], tables["categories"])
     return coded.select(
         "product_id",
-        F.concat("category_name", F.lit("-"), F.substring("product_id", 1, 8)).alias("product_name"),
+        F.concat("category_name", F.lit("-"), "product_id").alias("product_name"),
         F.coalesce("category_id", F.lit(S.UNKNOWN_CATEGORY_ID)).alias("category_id"),
         "category_name",
         F.lit(S.UNKNOWN).alias("brand"),
@@ -205,7 +205,8 @@ def excluded_by_status(tables: dict[str, DataFrame]) -> DataFrame:
 def status_distribution(orders: DataFrame) -> DataFrame:
     """Rows per status, their share in percent, and whether the status counts as valid."""
     counts = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("row_cnt"))
-    total = orders.agg(F.count(F.lit(1))).scalar()
+    # Over the statuses, not the rows.
+    total = F.sum("row_cnt").over(Window.partitionBy())
     share = F.round(F.col("row_cnt").cast("decimal(24,4)") * 100 / total, 2)
     valid = F.col("order_status").isin(S.VALID_STATUSES)
     return counts.select(

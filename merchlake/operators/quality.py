@@ -113,8 +113,8 @@ def reject_summary(rejected: DataFrame) -> DataFrame:
 
 
 def latest_quality(clean_stats: DataFrame) -> DataFrame:
-    """The row of the latest batch; batch ids carry their start time."""
-    return clean_stats.orderBy(F.desc("batch_id"), F.desc("update_time")).limit(1)
+    """The row written last; of rows written at the same time, the one with the later batch id."""
+    return clean_stats.orderBy(F.desc("update_time"), F.desc("batch_id")).limit(1)
 
 
 def job_logs(log: DataFrame) -> DataFrame:

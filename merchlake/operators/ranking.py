@@ -1,4 +1,7 @@
-"""Rank numbers, shares of a total and pages, without sorting an open-ended result in one task."""
+"""Rank numbers, shares of a total and pages, without sorting an open-ended result in one task.
+
+Everything here is a lazy plan; nothing runs before the answer is asked for.
+"""
 
 from __future__ import annotations
 
@@ -6,41 +9,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlake.functions.measures import ratio
-from merchlake.session import ensure_checkpoint_dir
-
-# Rows a top-k operator may hold per task; deeper pages go through a distributed sort.
-TOP_K_ROWS = 10_000
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def number_rows(df: DataFrame, bucket: Column, order: list[Column], name: str) -> DataFrame:
     """Add consecutive numbers from 1 in the given order, whatever the size of ``df``.
 
-    The rows are range-sorted over all tasks and checkpointed, which fixes the partitions; a row's
-    number is its place in its partition plus the sizes of the partitions before. Only those
-    sizes, one per partition, meet in one task.
+    ``bucket`` must never fall along the order. Rows are counted per bucket, and a row's number is
+    its place in its bucket plus the sizes of the buckets before; only these sizes, one row per
+    bucket, meet in one task. Both uses of ``df`` share its last exchange.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.orderBy(*order)
-        .checkpoint()
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", 33))
-        .withColumn("_place", F.col("_id").bitwiseAND((1 << 33) - 1))
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.withColumn("_bucket", bucket)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_part")
+        placed.groupBy("_bucket")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+        .select(F.col("_bucket").alias("_key"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
-    # One row per partition of a checkpointed frame: bounded by the shuffle partition count.
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_place") + 1)
-        .drop("_id", "_part", "_place", "_before")
+        placed.withColumn("_place", inside)
+        .join(offsets, F.col("_bucket").eqNullSafe(F.col("_key")))
+        .withColumn(name, F.col("_before") + F.col("_place"))
+        .drop("_bucket", "_key", "_before", "_place")
     )
 
 
+def falling_money(money: Column) -> Column:
+    """A bucket for ``number_rows`` over falling money: some sixteen buckets per doubling."""
+    size = F.greatest(money.cast("double"), F.lit(1.0))
+    return -F.floor(F.log2(size) * 16)
+
+
 def top_ranked(df: DataFrame, order: list[Column], limit: int, name: str = "rank_no") -> DataFrame:
     """The first ``limit`` rows with rank numbers. The window runs over at most ``limit`` rows."""
     first = df.orderBy(*order).limit(limit)
@@ -65,58 +64,75 @@ def ranked_shares(groups: DataFrame, key: str, limit: int | None) -> DataFrame:
     ``limit`` None ranks every group.
     """
     order = [F.desc("gmv"), F.asc_nulls_last(key)]
-    marked = with_total(groups, key)
     if limit is None:
-        numbered = number_rows(marked, [F.desc("is_total"), *order], "_no")
-        total = numbered.where("is_total = 1").select("gmv").scalar()
+        numbered = number_rows(groups, falling_money(F.col("gmv")), order, "rank_no")
+        total = groups.agg(F.sum("gmv")).scalar()
     else:
-        numbered = top_ranked(marked, [F.desc("is_total"), *order], limit + 1, "_no")
+        marked = with_total(groups, key)
+        ranked = top_ranked(marked, [F.desc("is_total"), *order], limit + 1, "_no")
         # At most limit + 1 rows, the total first.
         total = F.max(F.when(F.col("is_total") == 1, F.col("gmv"))).over(Window.partitionBy())
+        numbered = ranked.withColumn("_total", total).where("is_total = 0").withColumn("rank_no", F.col("_no") - 1)
+        total = F.col("_total")
     money = F.col("gmv").cast("decimal(20,2)")
-    return (
-        numbered.withColumn("_total", total)
-        .where("is_total = 0")
-        .select(
-            (F.col("_no") - 1).cast("int").alias("rank_no"),
-            key,
-            money.alias("gmv"),
-            *[c for c in groups.columns if c not in (key, "gmv")],
-            ratio(money * 100, F.coalesce(F.round("_total", 2), F.lit(0)), 2)
-            .cast("decimal(10,2)")
-            .alias("ratio"),
-        )
+    return numbered.select(
+        F.col("rank_no").cast("int").alias("rank_no"),
+        key,
+        money.alias("gmv"),
+        *[c for c in groups.columns if c not in (key, "gmv")],
+        ratio(money * 100, F.coalesce(F.round(total, 2), F.lit(0)), 2)
+        .cast("decimal(10,2)")
+        .alias("ratio"),
     )
 
 
-def days_of(df: DataFrame, day: str, start: int, end: int) -> tuple[Column, Column, Column]:
-    """Which days hold rows ``start`` to ``end`` of ``df``, newest day first: the newest and the
-    oldest of them, and how many rows are newer than those days. NULL past the last row.
+def newest_rows(
+    df: DataFrame, day: str, time: str, ties: list[Column], start: int, size: int | None
+) -> DataFrame:
+    """``size`` rows after the first ``start`` in falling order of ``time``, then by ``ties``; every
+    row after them without a size. ``day`` is the day of ``time``; the answer is in order.
 
-    Counting per day reads the filter columns only; a table laid out by day then opens no more
-    than the days named.
+    Rows are counted per day, which reads filter columns only, then per moment on the two days where
+    the page begins and ends. Only rows from the first to the last moment of the page are read in
+    full and sorted, over all tasks; of these two moments the rows that belong to other pages are
+    cut off by their number in the moment. A table laid out by day opens the days of the page only.
     """
+    order = [F.desc(time), *ties]
+    if start == 0 and size is None:
+        return df.orderBy(*order)
+    end = None if size is None else start + size
     per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
-    newer = Window.orderBy(F.desc(day)).rowsBetween(Window.unboundedPreceding, -1)
     # One row per calendar day meets in one task here.
-    placed = per_day.withColumn("_before", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
-    held = placed.where((F.col("_before") < end) & (F.col("_before") + F.col("_rows") > start))
-    return (
-        held.agg(F.max(day)).scalar(),
-        held.agg(F.min(day)).scalar(),
-        held.agg(F.min("_before")).scalar(),
+    newer = Window.orderBy(F.desc(day)).rowsBetween(Window.unboundedPreceding, -1)
+    days = per_day.withColumn("_before", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+
+    def held(counted: DataFrame) -> DataFrame:
+        inside = F.col("_before") + F.col("_rows") > start
+        return counted.where(inside if end is None else inside & (F.col("_before") < end))
+
+    first_day = held(days).agg(F.max(day)).scalar()
+    last_day = held(days).agg(F.min(day)).scalar()
+    # The moments of two days at most, a row per second.
+    later = Window.partitionBy(day).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, -1)
+    edges = (
+        df.where((F.col(day) == first_day) | (F.col(day) == last_day))
+        .groupBy(day, time)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_in_day", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
+        .join(days.select(F.col(day).alias("_day"), F.col("_before").alias("_newer")), F.col(day) == F.col("_day"))
+        .withColumn("_before", F.col("_newer") + F.col("_in_day"))
     )
-
-
-def newest_rows(df: DataFrame, day: str, order: list[Column], start: int, size: int) -> DataFrame:
-    """``size`` rows after the first ``start`` in ``order``, which must begin with the newest day.
-
-    Rows near the top come from a bounded top-k; deeper ones from a distributed numbering of the
-    days that hold them.
-    """
-    end = start + size
-    newest, oldest, before = days_of(df, day, start, end)
-    if start == 0 or end <= TOP_K_ROWS:
-        return df.where(F.col(day) >= oldest).orderBy(*order).offset(start).limit(size)
-    numbered = number_rows(df.where(F.col(day).between(oldest, newest)), order, "_no")
-    return numbered.where((F.col("_no") + before).between(start + 1, end)).drop("_no")
+    moments = held(edges)
+    first, last = moments.agg(F.max(time)).scalar(), moments.agg(F.min(time)).scalar()
+    skipped = moments.where(F.col(time) == first).agg(F.max("_before")).scalar()
+    ahead = moments.where(F.col(time) == last).agg(F.max("_before")).scalar()
+
+    days_of_page = (F.col(day) <= first_day) & (F.col(day) >= last_day)
+    page = df.where(days_of_page & (F.col(time) <= first) & (F.col(time) >= last))
+    edge = (F.col(time) == first) | (F.col(time) == last)
+    # Numbers within the first and the last moment only.
+    nth = F.row_number().over(Window.partitionBy(time).orderBy(*ties))
+    numbered = page.where(edge).withColumn("_nth", nth)
+    place = F.when(F.col(time) == first, F.col("_nth") + skipped).otherwise(F.col("_nth") + ahead)
+    wanted = place > start if end is None else (place > start) & (place <= end)
+    return page.where(~edge).unionByName(numbered.where(wanted).drop("_nth")).orderBy(*order)

@@ -15,17 +15,19 @@ from merchlake import schemas as S
 from merchlake.functions import rules as R
 from merchlake.operators import cleanse, gold, marketplace, quality, reconcile
 from merchlake.plans import dashboard as D
-from merchlake.plans import sql_build
+from merchlake.plans import etl, sql_build
 from merchlake.plans.query import AnalysisQuery
 from merchlake.session import scratch_path
 from merchlake.sources import files, testdata
-from merchlake.sources.tables import Warehouse
+from merchlake.sources.tables import BY_DAY, Warehouse
 
 BATCH = "B20260101000000-DF"
 SECOND_BATCH = "B20260101000001-SQL"
 MARKET_BATCH = "B20260101000002-MKT"
 CURRENCY = S.DEFAULT_CURRENCY
-CHANNELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+REBUILD_BATCH = "B20260101000003-DF"
+# Days that the rebuild queries replace, and one of them that is left without rows.
+REBUILT_FROM, REBUILT_TO, EMPTIED = "1996-03-01", "1996-03-10", "1996-03-05"
 
 ONE_RANGE = AnalysisQuery(start_date="1996-01-01", end_date="1998-12-31")
 # Reversed on purpose: the query swaps the dates.
@@ -127,7 +129,12 @@ class Frames:
 
     @cached_property
     def sql_gold(self) -> dict[str, DataFrame]:
-        return sql_build.daily_gold(self.spark, self.sql_silver)
+        overview = sql_build.overview(self.spark, self.sql_silver, self.batch_id, self.currency)
+        return {**sql_build.daily_gold(self.spark, self.sql_silver), "ads_overview": overview}
+
+    @cached_property
+    def sql_counters(self) -> DataFrame:
+        return sql_build.counters(self.spark, self.sql_staged, self.raw_products)
 
 
 class BuildSide(NamedTuple):
@@ -375,7 +382,7 @@ def product_topn_gold(f: Frames) -> DataFrame:
 
 @on_frames
 def product_topn_detail(f: Frames) -> DataFrame:
-    return D.product_top(f.tables, dataclasses.replace(ONE_CHANNEL, limit=100))
+    return D.product_top(f.tables, dataclasses.replace(ONE_CHANNEL, limit=500))
 
 
 @on_frames
@@ -410,7 +417,7 @@ def channel_category(f: Frames) -> DataFrame:
 
 @on_frames
 def channel_category_pivot(f: Frames) -> DataFrame:
-    return D.channel_category_table(f.tables, AnalysisQuery(), CHANNELS)
+    return D.channel_category_table(f.tables, AnalysisQuery())
 
 
 @on_frames
@@ -446,7 +453,20 @@ def order_page_by_status(f: Frames) -> DataFrame:
 
 @on_frames
 def order_export(f: Frames) -> DataFrame:
-    return D.order_export(f.tables, AnalysisQuery(only_valid=0, province="NATION_7"))
+    wanted = AnalysisQuery(only_valid=0, province="NATION_7", export_limit=5000)
+    return D.order_export(f.tables, wanted)
+
+
+@on_frames
+def order_export_all(f: Frames) -> DataFrame:
+    """An export without a limit holds every matching row."""
+    return D.order_export(f.tables, AnalysisQuery(only_valid=0))
+
+
+@on_frames
+def order_page_huge(f: Frames) -> DataFrame:
+    """A page larger than any day."""
+    return D.order_page(f.tables, AnalysisQuery(page_num=2, page_size=1500))
 
 
 # --- marketplace ----------------------------------------------------------------------------
@@ -542,23 +562,35 @@ def build_compare(f: Frames) -> DataFrame:
 
 @on_frames
 def build_differences(f: Frames) -> DataFrame:
-    daily = {name: f.gold[name] for name in gold.DAILY_BUILDERS}
-    first = {"dwd_order_detail": f.silver, "dwd_clean_reject": f.rejects, **daily}
-    second = {"dwd_order_detail": f.sql_silver, "dwd_clean_reject": f.sql_rejects, **f.sql_gold}
-    return reconcile.compare_tables(first, second, {"create_time", "update_time"})
+    stats = quality.clean_stat(f.counters, f.batch_id), sql_build.clean_stat(f.spark, f.sql_counters, f.batch_id)
+    gold_tables = {name: f.gold[name] for name in S.GOLD_COLUMNS}
+    first = {
+        "dwd_order_detail": f.silver,
+        "dwd_clean_reject": f.rejects,
+        **gold_tables,
+        "ads_clean_stat": stats[0],
+    }
+    second = {
+        "dwd_order_detail": f.sql_silver,
+        "dwd_clean_reject": f.sql_rejects,
+        **f.sql_gold,
+        "ads_clean_stat": stats[1],
+    }
+    return reconcile.compare_tables(first, second, {"create_time", "update_time", "run_date", "duration_ms"})
 
 
 @on_frames
 def run_log(f: Frames) -> DataFrame:
-    """The log of one run of both builds. Times are left out of the answer."""
+    """The log of one run of both builds, each counted by its own tables. Times are left out of the
+    answer."""
     a, b = _both_snapshots(f)
-    raw = reconcile.facts(f.counters, raw_rows=F.col("raw_cnt"))
     sides = {
-        BATCH: (BuildSide("a_", "DATAFRAME", 0), a, f.gold),
-        SECOND_BATCH: (BuildSide("b_", "SQL", 1), b, {**f.sql_gold, "ads_overview": f.gold["ads_overview"]}),
+        BATCH: (BuildSide("a_", "DATAFRAME", 0), a, f.counters, f.gold),
+        SECOND_BATCH: (BuildSide("b_", "SQL", 1), b, f.sql_counters, f.sql_gold),
     }
     snapshots = []
-    for batch, (side, snapshot, tables) in sides.items():
+    for batch, (side, snapshot, counters, tables) in sides.items():
+        raw = reconcile.facts(counters, raw_rows=F.col("raw_cnt"))
         counted = reconcile.row_counts({name: tables[name] for name in S.GOLD_COLUMNS}, "gold_rows")
         metrics = ["raw_rows", f"{side.prefix}silver_rows", "gold_rows"]
         row = reconcile.spread(reconcile.stack(raw, snapshot, counted), metrics)
@@ -581,6 +613,19 @@ def run_log(f: Frames) -> DataFrame:
     )
 
 
+def duration_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations of two modes over a log whose jobs are the order priorities."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    log = orders.groupBy(
+        F.col("o_orderpriority").alias("job_name"),
+        F.when(F.col("o_orderstatus") == "F", "DATAFRAME").otherwise("SQL").alias("compute_mode"),
+    ).agg(F.sum(F.col("o_custkey") % 1000).alias("duration_ms"))
+    return quality.compare_durations(log, "DATAFRAME", "SQL")
+
+
+_register("duration_compare", duration_compare)
+
+
 def _market_frames(m: dict[str, DataFrame]) -> tuple[DataFrame, Frames]:
     """The converted orders and a build over them."""
     converted = marketplace.convert_orders(m)
@@ -633,14 +678,14 @@ def csv_scan_orders(f: Frames) -> DataFrame:
     """Raw orders written as CSV, scanned back as text and loaded to bronze."""
     path = scratch_path(f.spark, "orders-csv")
     files.write_csv(f.raw_orders, path)
-    return files.bronze(files.scan_orders(f.spark, path), S.ORDER_FIELDS, f.batch_id)
+    return files.bronze(files.scan_orders(f.spark, path, escaped=True), S.ORDER_FIELDS, f.batch_id)
 
 
 @on_frames
 def csv_scan_products(f: Frames) -> DataFrame:
     path = scratch_path(f.spark, "products-csv")
     files.write_csv(f.raw_products, path)
-    return files.bronze(files.scan_products(f.spark, path), S.PRODUCT_FIELDS, f.batch_id)
+    return files.bronze(files.scan_products(f.spark, path, escaped=True), S.PRODUCT_FIELDS, f.batch_id)
 
 
 @on_market
@@ -650,16 +695,13 @@ def csv_scan_marketplace(m: dict[str, DataFrame]) -> DataFrame:
     root = scratch_path(spark, "market-csv")
     for name, df in m.items():
         files.write_csv(df, f"{root}/{name}")
-    scanned = files.scan_marketplace(spark, {name: f"{root}/{name}" for name in m})
-    n = F.count(F.lit(1)).alias("row_cnt")
-    key = S.MARKET_FIELDS
-    return reconcile.stack(
-        *[
-            df.agg(n, F.count(key[name][0]).alias("key_cnt"), F.count(key[name][1]).alias("second_cnt"))
-            .select(F.lit(name).alias("table_name"), "row_cnt", "key_cnt", "second_cnt")
-            for name, df in scanned.items()
-        ]
-    )
+    scanned = files.scan_marketplace(spark, {name: f"{root}/{name}" for name in m}, escaped=True)
+    # Every field of every row as (table, field, value, rows).
+    cells = []
+    for name, df in scanned.items():
+        fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in S.MARKET_FIELDS[name]])
+        cells.append(df.select(F.lit(name).alias("table_name"), F.inline(fields)))
+    return reconcile.stack(*cells).groupBy("table_name", "field", "value").agg(F.count(F.lit(1)).alias("row_cnt"))
 
 
 def _warehouse(f: Frames) -> Warehouse:
@@ -683,3 +725,116 @@ def stored_category_top(f: Frames) -> DataFrame:
     warehouse.overwrite("dwd_order_detail", f.silver)
     stored = D.Tables(warehouse.read("dwd_order_detail"), {}, f.currency)
     return D.category_top(stored, AnalysisQuery(limit=3))
+
+
+@on_frames
+def stored_rejects(f: Frames) -> DataFrame:
+    warehouse = _warehouse(f)
+    warehouse.overwrite("dwd_clean_reject", f.rejects)
+    return warehouse.read("dwd_clean_reject")
+
+
+def _stored_gold(f: Frames, name: str, by_day: tuple[str, ...] = BY_DAY) -> DataFrame:
+    warehouse = Warehouse(f.spark, scratch_path(f.spark, "tables"), by_day)
+    warehouse.overwrite(name, f.gold[name])
+    return warehouse.read(name)
+
+
+@on_frames
+def stored_gold_trend(f: Frames) -> DataFrame:
+    return _stored_gold(f, "ads_daily_trend")
+
+
+@on_frames
+def stored_gold_product(f: Frames) -> DataFrame:
+    """The product table in its layout by day."""
+    return _stored_gold(f, "ads_product_stat")
+
+
+def _routed(f: Frames, name: str, filled: bool = True) -> D.Tables:
+    """Stored silver and one gold table, with rows or without."""
+    warehouse = _warehouse(f)
+    warehouse.overwrite("dwd_order_detail", f.silver)
+    warehouse.overwrite(name, f.gold[name] if filled else f.gold[name].where(F.lit(False)))
+    return D.Tables.stored(warehouse, f.currency, (name,))
+
+
+@on_frames
+def overview_routed(f: Frames) -> DataFrame:
+    return D.overview(_routed(f, "ads_overview"), AnalysisQuery())
+
+
+@on_frames
+def overview_empty_gold(f: Frames) -> DataFrame:
+    return D.overview(_routed(f, "ads_overview", filled=False), AnalysisQuery())
+
+
+@on_frames
+def trend_routed(f: Frames) -> DataFrame:
+    return D.trend(_routed(f, "ads_daily_trend"), ONE_RANGE)
+
+
+@on_frames
+def trend_empty_gold(f: Frames) -> DataFrame:
+    return D.trend(_routed(f, "ads_daily_trend", filled=False), ONE_RANGE)
+
+
+@on_frames
+def product_routed(f: Frames) -> DataFrame:
+    return D.product_top(_routed(f, "ads_product_stat"), SWAPPED_RANGE)
+
+
+@on_frames
+def export_round_trip(f: Frames) -> DataFrame:
+    """The export written as CSV parts and read back."""
+    path = scratch_path(f.spark, "export")
+    rows = D.order_export(f.tables, AnalysisQuery(only_valid=0, channel="BUILDING"))
+    files.write_csv(rows, path)
+    return files.scan_csv(f.spark, path, S.all_strings(rows.columns), escaped=True)
+
+
+def _rebuilt(f: Frames, by_day: tuple[str, ...]) -> Warehouse:
+    """A warehouse after a rebuild of some days from changed rows: one day is gone, some quantities
+    became 0 and some times unreadable."""
+    warehouse = Warehouse(f.spark, scratch_path(f.spark, "rebuilt"), by_day)
+    etl.load_bronze(warehouse, f.raw_orders, f.raw_products, f.batch_id)
+    etl.build(warehouse, etl.DATAFRAME, f.batch_id, f.currency)
+    day = F.to_date(R.parse_time(F.col("order_time"))).cast("string")
+    changed = f.raw_orders.where(day.between(REBUILT_FROM, REBUILT_TO) & (day != EMPTIED)).withColumns(
+        {
+            "quantity": F.when(F.col("order_id").endswith("7"), "0").otherwise(F.col("quantity")),
+            "order_time": F.when(F.col("order_id").endswith("3"), "lost").otherwise(F.col("order_time")),
+        }
+    )
+    for _ in range(2):
+        # Twice leaves what once leaves.
+        etl.rebuild_days(
+            warehouse, changed, f.raw_products, REBUILT_FROM, REBUILT_TO, REBUILD_BATCH, f.currency
+        )
+    return warehouse
+
+
+@on_frames
+def rebuilt_silver(f: Frames) -> DataFrame:
+    return _rebuilt(f, ("dwd_order_detail",)).read("dwd_order_detail").drop("batch_id")
+
+
+@on_frames
+def rebuilt_rejects(f: Frames) -> DataFrame:
+    return _rebuilt(f, ()).read("dwd_clean_reject")
+
+
+@on_frames
+def rebuilt_quality(f: Frames) -> DataFrame:
+    stat = _rebuilt(f, ("dwd_staged",)).read("ads_clean_stat")
+    return quality.latest_quality(stat).drop("run_date", "duration_ms")
+
+
+@on_frames
+def rebuilt_trend(f: Frames) -> DataFrame:
+    return _rebuilt(f, ()).read("ads_daily_trend")
+
+
+@on_frames
+def rebuilt_bronze(f: Frames) -> DataFrame:
+    return _rebuilt(f, ()).read("ods_order_detail").drop("batch_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlake import schemas as S
@@ -22,20 +22,33 @@ from merchlake.sources.tables import Warehouse
 
 PRECOMPUTED = "PRECOMPUTE"
 ON_DEMAND = "ONDEMAND"
+# Gold tables that questions are routed to.
+ROUTED = ("ads_overview", "ads_daily_trend", "ads_product_stat")
 
 
 @dataclasses.dataclass
 class Tables:
-    """Silver and gold, from a warehouse or as plans not yet run."""
+    """Silver and gold, from a warehouse or as plans not yet run.
+
+    ``empty`` names the gold tables without rows; their questions go to silver. For stored tables
+    it is read from the files' footers once; plans not yet run count as filled.
+    """
 
     silver: DataFrame
     gold: dict[str, DataFrame]
     currency: str = S.DEFAULT_CURRENCY
+    empty: frozenset[str] = frozenset()
 
     @classmethod
-    def stored(cls, warehouse: Warehouse, currency: str = S.DEFAULT_CURRENCY) -> Tables:
-        gold = {name: warehouse.read(name) for name in S.GOLD_COLUMNS}
-        return cls(warehouse.read("dwd_order_detail"), gold, currency)
+    def stored(
+        cls,
+        warehouse: Warehouse,
+        currency: str = S.DEFAULT_CURRENCY,
+        names: tuple[str, ...] = tuple(S.GOLD_COLUMNS),
+    ) -> Tables:
+        gold = {name: warehouse.read(name) for name in names}
+        empty = frozenset(name for name in ROUTED if name in gold and not warehouse.rows(name))
+        return cls(warehouse.read("dwd_order_detail"), gold, currency, empty)
 
 
 def _sourced(df: DataFrame, source: str) -> DataFrame:
@@ -64,7 +77,7 @@ def overview_stored(tables: Tables) -> DataFrame:
 
 
 def overview(tables: Tables, query: AnalysisQuery) -> DataFrame:
-    if query.has_dates or query.has_dimensions or tables.gold["ads_overview"].isEmpty():
+    if query.has_dates or query.has_dimensions or "ads_overview" in tables.empty:
         return overview_on_demand(tables, query)
     return overview_stored(tables)
 
@@ -87,9 +100,8 @@ def trend_stored(tables: Tables, query: AnalysisQuery) -> DataFrame:
 
 
 def trend(tables: Tables, query: AnalysisQuery) -> DataFrame:
-    if query.has_dimensions:
-        return trend_on_demand(tables, query)
-    if tables.gold["ads_daily_trend"].where(Q.date_filter(query)).isEmpty():
+    # Gold without rows in the range answers like silver without rows in the range.
+    if query.has_dimensions or "ads_daily_trend" in tables.empty:
         return trend_on_demand(tables, query)
     return trend_stored(tables, query)
 
@@ -169,9 +181,7 @@ def product_top_stored(tables: Tables, query: AnalysisQuery) -> DataFrame:
 
 def product_top(tables: Tables, query: AnalysisQuery) -> DataFrame:
     # Gold holds valid orders only, so a query over all orders needs the detail.
-    if query.has_dimensions or not query.valid_only:
-        return product_top_on_demand(tables, query)
-    if tables.gold["ads_product_stat"].where(Q.date_filter(query)).isEmpty():
+    if query.has_dimensions or not query.valid_only or "ads_product_stat" in tables.empty:
         return product_top_on_demand(tables, query)
     return product_top_stored(tables, query)
 
@@ -193,25 +203,33 @@ def channel_category(tables: Tables, query: AnalysisQuery) -> DataFrame:
     )
 
 
-def channel_category_table(
-    tables: Tables, query: AnalysisQuery, channels: list[str], top: int = 6
-) -> DataFrame:
-    """The top categories by money over all channels, one column per channel, 0 where nothing sold.
-
-    Total and columns come from one aggregate, before the cut.
-    """
-    zero = F.lit(0).cast(S.GMV)
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("channel") == ch, F.col("gmv"))), zero).cast(S.GMV).alias(ch)
-        for ch in channels
-    ]
-    return (
-        _channel_category(tables, query)
-        .groupBy("category_name")
-        .agg(F.sum("gmv").cast(S.GMV).alias("total_gmv"), *cells)
+def channel_category_table(tables: Tables, query: AnalysisQuery, top: int = 6) -> DataFrame:
+    """A row per channel found in the rows for each of the top categories by money, 0 where nothing
+    was sold. Orders without a channel are a channel of their own, so a category's rows add up to its
+    total."""
+    cells = _channel_category(tables, query).select("category_name", "channel", "gmv")
+    # One row per channel; a struct, since a collected set leaves nulls out.
+    channels = cells.agg(F.collect_set(F.struct("channel"))).scalar()
+    largest = (
+        cells.groupBy("category_name")
+        .agg(F.sum("gmv").cast(S.GMV).alias("total_gmv"))
         .orderBy(F.desc("total_gmv"), F.asc_nulls_last("category_name"))
         .limit(top)
     )
+    wanted = largest.select(
+        F.col("category_name").alias("_category"), "total_gmv", F.explode(channels).alias("_cell")
+    )
+    same = F.col("_category").eqNullSafe(F.col("category_name")) & F.col("_cell.channel").eqNullSafe(F.col("channel"))
+    return (
+        wanted.join(cells, same, "left")
+        .select(
+            F.col("_category").alias("category_name"),
+            "total_gmv",
+            F.col("_cell.channel").alias("channel"),
+            F.coalesce("gmv", F.lit(0)).cast(S.GMV).alias("gmv"),
+        )
+        .orderBy(F.desc("total_gmv"), F.asc_nulls_last("category_name"), F.asc_nulls_last("channel"))
+    )
 
 
 # --- filter metadata ------------------------------------------------------------------------
@@ -264,17 +282,17 @@ def filter_meta(tables: Tables) -> DataFrame:
 DETAIL_COLUMNS = [f.name for f in S.SILVER.fields if f.name != "create_time"]
 
 
-def _newest_first() -> list[Column]:
+def _newest(tables: Tables, query: AnalysisQuery, start: int, size: int | None) -> DataFrame:
+    rows = tables.silver.where(Q.detail_filter(query)).select(*DETAIL_COLUMNS)
     first = ["order_id", "product_id"]
     rest = [c for c in DETAIL_COLUMNS if c not in (*first, "order_time")]
-    return [F.desc("order_time"), *[F.asc_nulls_first(c) for c in (*first, *rest)]]
+    ties = [F.asc_nulls_first(c) for c in (*first, *rest)]
+    return newest_rows(rows, "stat_date", "order_time", ties, start, size)
 
 
 def order_page(tables: Tables, query: AnalysisQuery) -> DataFrame:
     """One page of order lines, newest first; all columns break ties, so pages never overlap."""
-    rows = tables.silver.where(Q.detail_filter(query)).select(*DETAIL_COLUMNS)
-    start = (query.page_num - 1) * query.page_size
-    return newest_rows(rows, "stat_date", _newest_first(), start, query.page_size)
+    return _newest(tables, query, (query.page_num - 1) * query.page_size, query.page_size)
 
 
 def order_page_totals(tables: Tables, query: AnalysisQuery) -> DataFrame:
@@ -312,10 +330,9 @@ EXPORT_HEADERS = {
 
 
 def order_export(tables: Tables, query: AnalysisQuery) -> DataFrame:
-    """Up to ``export_limit`` order lines, newest first, as text under the export's headers.
-    Write it with ``sources.files.export_csv``."""
-    rows = tables.silver.where(Q.detail_filter(query)).select(*DETAIL_COLUMNS)
-    first = newest_rows(rows, "stat_date", _newest_first(), 0, query.export_limit)
+    """Every matching order line, or the first ``export_limit``, newest first, as text under the
+    export's headers. Write it with ``sources.files.write_csv``: the parts are in order."""
+    first = _newest(tables, query, 0, query.export_limit)
     flag = F.when(F.col("is_valid_order") == 1, F.lit("有效")).otherwise(F.lit("无效"))
     texts = {
         "order_time": F.date_format("order_time", "yyyy-MM-dd HH:mm:ss"),

@@ -31,10 +31,10 @@ def cents(money: str) -> str:
 RAW = f"""
 raw_orders AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
-           CASE WHEN h < 15 THEN 'invalid_time'
-                WHEN h < 125 THEN replace(ds, '-', '/') || ' 10:00'
-                WHEN h < 160 THEN ds || 'T10:00:00'
-                ELSE ds || ' 10:00:00' END AS order_time,
+           CASE WHEN h < 15 THEN 'no time'
+                WHEN h < 125 THEN replace(ds, '-', '/') || ' ' || tod[1:5]
+                WHEN h < 160 THEN ds || 'T' || tod
+                ELSE ds || ' ' || tod END AS order_time,
            CAST(o_custkey AS VARCHAR) AS user_id,
            CASE WHEN h BETWEEN 600 AND 602 THEN 'X' || l_partkey
                 ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
@@ -67,6 +67,7 @@ raw_orders AS (
                     AS DECIMAL(12,2)) AS disc,
                (l_orderkey * 31 + l_partkey * 17 + l_linenumber * 7 + CAST(l_quantity AS BIGINT)) % 1000 AS h,
                o_custkey, o_orderstatus, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS ds,
+               printf('%02d:%02d:%02d', 8 + o_orderkey % 12, o_orderkey * 7 % 60, o_orderkey * 13 % 60) AS tod,
                c_custkey, c_mktsegment, n_name
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
              JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -111,16 +112,17 @@ lines AS (
                TRY_CAST(pay_amount AS DECIMAL(14,2)) AS paid
         FROM lines)
 ), flagged AS (
-    SELECT *, is_bad_qty OR is_bad_price OR paid IS NULL OR coalesce(abs(paid - pay) > 0.01, false) AS is_bad_amount
+    SELECT *, is_bad_qty OR is_bad_price OR paid IS NULL OR pay IS NULL OR coalesce(abs(paid - pay) > 0.01, false) AS is_bad_amount
     FROM staged
 ), dimension AS (
-    SELECT * FROM (
-        SELECT product_id AS pid, nullif(trim(product_name), '') AS pname,
-               nullif(trim(category_id), '') AS cid, nullif(trim(category_name), '') AS cname,
-               nullif(trim(brand), '') AS pbrand
-        FROM raw_products)
-    QUALIFY row_number() OVER (PARTITION BY pid ORDER BY pname NULLS LAST, cid NULLS LAST,
-                               cname NULLS LAST, pbrand NULLS LAST) = 1
+    SELECT pid, best[1] AS pname, best[2] AS cid, best[3] AS cname, best[4] AS pbrand
+    FROM (
+        -- Absent labels sort last: a list compares element by element, and U+10FFFF is the largest.
+        SELECT product_id AS pid, arg_min(labels, list_transform(labels, lambda x: coalesce(x, chr(1114111)))) AS best
+        FROM (SELECT product_id, [nullif(trim(product_name), ''), nullif(trim(category_id), ''),
+                                  nullif(trim(category_name), ''), nullif(trim(brand), '')] AS labels
+              FROM raw_products)
+        GROUP BY product_id)
 ), silver AS (
     SELECT order_id, ts, CAST(ts AS DATE) AS stat_date, strftime(ts, '%Y-%m') AS stat_month,
            CAST(year(ts) AS VARCHAR) || '-W' || lpad(CAST(weekofyear(ts) AS VARCHAR), 2, '0') AS stat_week,
@@ -142,7 +144,7 @@ lines AS (
            CASE rule_code WHEN 'R03' THEN '{S.RULE_TEXT["R03"]}' WHEN 'R04' THEN '{S.RULE_TEXT["R04"]}'
                           ELSE '{S.RULE_TEXT["R05"]}' END AS rule_desc,
            order_id, product_id,
-           left(concat_ws('|', order_id, order_time, quantity, unit_price, pay_amount), 500) AS raw_record
+           array_to_string(list_filter([order_id, order_time, quantity, unit_price, pay_amount], lambda x: x IS NOT NULL), '|') AS raw_record
     FROM staged WHERE rule_code IS NOT NULL
 ), counters AS (
     SELECT CAST(sum(copies) AS BIGINT) AS raw_cnt,
@@ -170,11 +172,13 @@ m_orders AS (
 ), m_items AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
            CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-           CAST(l_tax * 100 AS DECIMAL(12,2)) AS freight
+           CAST(l_tax * 100 AS DECIMAL(12,2)) AS freight, CAST(l_suppkey AS VARCHAR) AS seller_id,
+           CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipping_limit_date
     FROM lineitem
 ), m_customers AS (
     SELECT CAST(c_custkey AS VARCHAR) AS customer_id, 'U' || (c_custkey // 2) AS customer_unique_id,
-           n_name || '_C' || c_custkey % 7 AS customer_city, n_name AS customer_state
+           n_name || '_C' || c_custkey % 7 AS customer_city, n_name AS customer_state,
+           CAST(c_nationkey AS VARCHAR) AS zip
     FROM customer JOIN nation ON c_nationkey = n_nationkey
 ), m_products AS (
     SELECT CAST(p_partkey AS VARCHAR) AS product_id,
@@ -226,12 +230,43 @@ m_orders AS (
          JOIN m_customers c ON o.customer_id = c.customer_id
          LEFT JOIN main_pay p ON r.order_id = p.order_id
 ), converted_products AS (
-    SELECT product_id, n.category_name || '-' || substr(product_id, 1, 8) AS product_name, category_id,
+    SELECT product_id, n.category_name || '-' || product_id AS product_name, category_id,
            n.category_name, '{S.UNKNOWN}' AS brand, '0.00' AS cost_price, '' AS launch_date
     FROM named n LEFT JOIN codes c ON n.category_name = c.category_name
 )"""
 
+# Fields of the six tables that hold something; all others are null throughout.
+_CELLS = {
+    "orders": {c: c for c in ("order_id", "customer_id", "order_status", "order_purchase_timestamp")},
+    "items": {
+        **{c: c for c in ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date")},
+        "price": "CAST(price AS VARCHAR)",
+        "freight_value": "CAST(freight AS VARCHAR)",
+    },
+    "customers": {
+        **{c: c for c in ("customer_id", "customer_unique_id", "customer_city", "customer_state")},
+        "customer_zip_code_prefix": "zip",
+    },
+    "products": {"product_id": "product_id", "product_category_name": "native_name"},
+    "payments": {
+        "order_id": "order_id",
+        "payment_sequential": "CAST(seq AS VARCHAR)",
+        "payment_type": "payment_type",
+        "payment_installments": "'1'",
+        "payment_value": "CAST(payment_value AS VARCHAR)",
+    },
+    # A lone blank comes back from CSV as it was.
+    "categories": {"product_category_name": "native_name", "product_category_name_english": "english_name"},
+}
+MARKET_CELLS = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{field}' AS field, {_CELLS[table].get(field, 'NULL')} AS value, "
+    f"count(*) AS row_cnt FROM m_{table} GROUP BY ALL"
+    for table, fields in S.MARKET_FIELDS.items()
+    for field in fields
+)
+
 MARKET_PIPELINE = f"""{MARKET},
+market_cells AS ({MARKET_CELLS}),
 raw_orders AS (SELECT * FROM converted),
 raw_products AS (SELECT * FROM converted_products),
 {pipeline(C.MARKET_BATCH)}"""
@@ -514,6 +549,8 @@ DIFFERENCES = tall(
             ("dwd_order_detail", "silver"),
             ("dwd_clean_reject", "rejected"),
             *[(t, f"(SELECT DISTINCT {keys} FROM silver)") for t, keys in DAILY_KEYS.items()],
+            ("ads_overview", f"range({len(S.KPIS)})"),
+            ("ads_clean_stat", "counters"),
         ]
     ]
 )
@@ -550,10 +587,6 @@ VALUE_LISTS = " UNION ALL ".join(
     for kind, (_, column) in C.D.FILTER_VALUES.items()
 )
 
-PIVOT_CELLS = ", ".join(
-    f"CAST(coalesce(sum(pay_amount) FILTER (channel = '{ch}'), 0) AS DOUBLE) AS \"{ch}\"" for ch in C.CHANNELS
-)
-
 MARKET_SHARE = half_up("excluded_cnt * 100", "status_cnt", 1)
 
 
@@ -635,7 +668,7 @@ ON_BASE: dict[str, str] = {
                   FROM silver WHERE is_valid_order = 1 AND {RANGE} GROUP BY ALL)
             GROUP BY product_id)
         QUALIFY rank_no <= 15""",
-    "product_topn_detail": product_detail(f"{ONLY_VALID} AND {ONE_CHANNEL}", 100),
+    "product_topn_detail": product_detail(f"{ONLY_VALID} AND {ONE_CHANNEL}", 500),
     "product_topn_all_orders": product_detail("true", 25),
     "channel_dist": shares("channel", ONLY_VALID, None),
     "paytype_dist": shares("pay_type", f"{ONLY_VALID} AND province = 'NATION_3'", None),
@@ -643,9 +676,13 @@ ON_BASE: dict[str, str] = {
     "region_topn_all_filters": shares("province", f"{ONLY_VALID} AND {ALL_FILTERS}", 10),
     "channel_category": f"""SELECT channel, category_name, CAST(sum(pay_amount) AS DOUBLE) AS gmv,
         count(DISTINCT order_id) AS order_cnt FROM silver WHERE {ONLY_VALID} AND {RANGE} GROUP BY ALL""",
-    "channel_category_pivot": f"""SELECT category_name, CAST(sum(pay_amount) AS DOUBLE) AS total_gmv, {PIVOT_CELLS}
-        FROM silver WHERE {ONLY_VALID} GROUP BY category_name
-        ORDER BY sum(pay_amount) DESC, category_name LIMIT 6""",
+    "channel_category_pivot": f"""
+        SELECT t.category_name, CAST(total AS DOUBLE) AS total_gmv, channel,
+               CAST(coalesce((SELECT sum(pay_amount) FROM silver s WHERE {ONLY_VALID} AND s.channel = c.channel
+                              AND s.category_name = t.category_name), 0) AS DOUBLE) AS gmv
+        FROM (SELECT category_name, sum(pay_amount) AS total FROM silver WHERE {ONLY_VALID}
+              GROUP BY category_name ORDER BY 2 DESC, 1 LIMIT 6) t,
+             (SELECT DISTINCT channel FROM silver WHERE {ONLY_VALID}) c""",
     "date_range": """SELECT CAST(min(stat_date) AS VARCHAR) AS min_date, CAST(max(stat_date) AS VARCHAR) AS max_date
         FROM silver""",
     "filter_meta": f"""SELECT 'min_date' AS kind, CAST(min(stat_date) AS VARCHAR) AS value FROM silver
@@ -654,6 +691,9 @@ ON_BASE: dict[str, str] = {
     "order_page_deep": page("true", 14_900, 100),
     "order_page_totals": f"""SELECT CAST(3 AS BIGINT) AS page_num, CAST(50 AS BIGINT) AS page_size,
         count(*) AS total, (count(*) + 49) // 50 AS pages FROM silver WHERE {ONLY_VALID}""",
+    "order_page_huge": page(ONLY_VALID, 1500, 1500),
+    "order_export_all": f"SELECT {EXPORT} FROM silver",
+    "export_round_trip": f"SELECT {EXPORT} FROM silver WHERE channel = 'BUILDING'",
     "order_page_by_status": page(f"order_status = '{S.STATUS_REFUNDED}' AND channel = 'MACHINERY'", 0, 20),
     "order_export": f"""SELECT {EXPORT} FROM (
         SELECT * FROM silver WHERE province = 'NATION_7' ORDER BY {NEWEST} LIMIT 5000)""",
@@ -678,6 +718,42 @@ ON_BASE: dict[str, str] = {
         brand, cost_price, launch_date, '{C.BATCH}' AS batch_id FROM raw_products""",
     "stored_silver": f"SELECT {SILVER_TEXT} FROM silver",
     "stored_category_top": shares("category_name", ONLY_VALID, 3),
+    "stored_rejects": "SELECT * FROM rejected",
+    "stored_gold_trend": trend(),
+    "stored_gold_product": daily(DAILY_KEYS["ads_product_stat"], GMV, QTY, ORDERS),
+    "overview_routed": kpis("true", f"{CARD}, '{C.D.PRECOMPUTED}' AS source"),
+    "overview_empty_gold": kpis("true", f"{CARD}, '{C.D.ON_DEMAND}' AS source"),
+    "trend_routed": trend(RANGE, f"'{C.D.PRECOMPUTED}' AS source"),
+    "trend_empty_gold": trend(RANGE, f"'{C.D.ON_DEMAND}' AS source"),
+    "duration_compare": """
+        SELECT o_orderpriority AS job_name, a AS base_ms, b AS other_ms, b - a AS diff_ms,
+               CASE WHEN a > 0 THEN round((b - a) * 100.0::DOUBLE / a, 2) ELSE 0.0::DOUBLE END AS slower_pct
+        FROM (SELECT o_orderpriority, CAST(sum(o_custkey % 1000) FILTER (o_orderstatus = 'F') AS BIGINT) AS a,
+                     CAST(sum(o_custkey % 1000) FILTER (o_orderstatus <> 'F') AS BIGINT) AS b
+              FROM orders GROUP BY 1)""",
+}
+ON_BASE["product_routed"] = ON_BASE["product_topn_gold"]
+
+# Raw rows after the rebuild of a few days, from which everything follows as from any raw rows.
+_DAY = """CAST(CAST(coalesce(try_strptime(order_time, '%Y-%m-%d %H:%M:%S'), try_strptime(order_time, '%Y/%m/%d %H:%M'),
+    try_strptime(order_time, '%Y-%m-%dT%H:%M:%S')) AS DATE) AS VARCHAR)"""
+_OTHERS = ", ".join(c for c in S.ORDER_FIELDS if c not in ("quantity", "order_time"))
+MERGED = f"""{RAW.replace("raw_orders AS (", "first_orders AS (", 1)},
+dated AS (SELECT *, {_DAY} AS day FROM first_orders),
+raw_orders AS (
+    SELECT {FIELDS} FROM dated WHERE coalesce(day NOT BETWEEN '{C.REBUILT_FROM}' AND '{C.REBUILT_TO}', true)
+    UNION ALL BY NAME
+    SELECT {_OTHERS}, CASE WHEN order_id LIKE '%7' THEN '0' ELSE quantity END AS quantity,
+           CASE WHEN order_id LIKE '%3' THEN 'lost' ELSE order_time END AS order_time
+    FROM dated WHERE day BETWEEN '{C.REBUILT_FROM}' AND '{C.REBUILT_TO}' AND day <> '{C.EMPTIED}'
+),{pipeline(C.REBUILD_BATCH)}"""
+
+ON_MERGED: dict[str, str] = {
+    "rebuilt_silver": f"SELECT {SILVER_TEXT.replace(', batch_id', '')} FROM silver",
+    "rebuilt_rejects": "SELECT * FROM rejected",
+    "rebuilt_quality": f"SELECT {STAT.format(batch=C.REBUILD_BATCH)} FROM counters",
+    "rebuilt_trend": trend(),
+    "rebuilt_bronze": f"SELECT {FIELDS} FROM raw_orders",
 }
 
 ON_MARKET: dict[str, str] = {
@@ -714,16 +790,11 @@ ON_MARKET: dict[str, str] = {
     "recon_facts": RAW_FACTS,
     "recon_levels": RECON,
     "market_pass_rate": PASS_RATE,
-    "csv_scan_marketplace": """
-        SELECT 'orders' AS table_name, count(*) AS row_cnt, count(*) AS key_cnt, count(*) AS second_cnt FROM m_orders
-        UNION ALL SELECT 'items', count(*), count(*), count(*) FROM m_items
-        UNION ALL SELECT 'customers', count(*), count(*), count(*) FROM m_customers
-        UNION ALL SELECT 'products', count(*), count(*), count(native_name) FROM m_products
-        UNION ALL SELECT 'payments', count(*), count(*), count(*) FROM m_payments
-        UNION ALL SELECT 'categories', count(*), count(*), count(english_name) FROM m_categories""",
+    "csv_scan_marketplace": "SELECT * FROM market_cells",
 }
 
 ORACLE: dict[str, str] = {
     **{name: f"WITH {BASE} {body}" for name, body in ON_BASE.items()},
     **{name: f"WITH {MARKET_PIPELINE} {body}" for name, body in ON_MARKET.items()},
+    **{name: f"WITH {MERGED} {body}" for name, body in ON_MERGED.items()},
 }

@@ -14,16 +14,16 @@ def _text(value: str | None) -> str | None:
     return stripped or None
 
 
-def _bounded(value: int | None, default: int, most: int) -> int:
-    return default if value is None or value <= 0 else min(value, most)
+def _positive(value: int | None, default: int | None) -> int | None:
+    return default if value is None or value <= 0 else value
 
 
 @dataclasses.dataclass
 class AnalysisQuery:
     """Optional filters, all of which must hold, plus paging.
 
-    Blank text means no filter, reversed dates are swapped, sizes outside their range fall back
-    to the default or the maximum.
+    Blank text means no filter, reversed dates are swapped, sizes that are not positive fall back
+    to the default. Sizes have no upper limit; an export without ``export_limit`` holds every row.
     """
 
     start_date: str | None = None
@@ -37,7 +37,7 @@ class AnalysisQuery:
     limit: int | None = 10
     page_num: int | None = 1
     page_size: int | None = 20
-    export_limit: int | None = 5000
+    export_limit: int | None = None
 
     def __post_init__(self) -> None:
         for name in (
@@ -52,9 +52,9 @@ class AnalysisQuery:
             setattr(self, name, _text(getattr(self, name)))
         if self.start_date and self.end_date and self.start_date > self.end_date:
             self.start_date, self.end_date = self.end_date, self.start_date
-        self.limit = _bounded(self.limit, 10, 100)
-        self.page_size = _bounded(self.page_size, 20, 200)
-        self.export_limit = _bounded(self.export_limit, 5000, 50_000)
+        self.limit = _positive(self.limit, 10)
+        self.page_size = _positive(self.page_size, 20)
+        self.export_limit = _positive(self.export_limit, None)
         self.page_num = max(self.page_num or 1, 1)
 
     @property

@@ -64,6 +64,7 @@ def all_strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+# Column layouts of the raw, detail, metric and tracking tables.
 ORDER_FIELDS = [
     "order_id",
     "order_time",
@@ -245,40 +246,75 @@ SNAPSHOT_COLUMNS = [
     "trend_valid_orders",
 ]
 
+# Types of the columns that are not text.
 _COLUMN_TYPES = {
-    "stat_date": "date",
-    "run_date": "date",
-    "create_time": "timestamp",
-    "update_time": "timestamp",
-    "start_time": "timestamp",
-    "end_time": "timestamp",
-    "kpi_value": KPI_VALUE,
-    "gmv": GMV,
-    "trend_gmv": GMV,
-    "avg_order_amount": PAY,
-    "refund_rate": RATE,
-    "quality_score": RATE,
-    "sales_qty": "bigint",
-    "trend_valid_orders": "bigint",
+    "date": ("stat_date", "run_date"),
+    "timestamp": ("create_time", "update_time", "start_time", "end_time"),
+    KPI_VALUE: ("kpi_value",),
+    GMV: ("gmv", "trend_gmv"),
+    PAY: ("avg_order_amount",),
+    RATE: ("refund_rate", "quality_score"),
+    "bigint": (
+        "order_cnt",
+        "valid_order_cnt",
+        "sales_qty",
+        "buyer_cnt",
+        "refund_order_cnt",
+        "raw_cnt",
+        "null_field_cnt",
+        "dup_record_cnt",
+        "invalid_time_cnt",
+        "invalid_amount_cnt",
+        "invalid_status_cnt",
+        "missing_dim_cnt",
+        "valid_cnt",
+        "discard_cnt",
+        "duration_ms",
+        "clean_ms",
+        "input_rows",
+        "output_rows",
+        "raw_rows",
+        "silver_rows",
+        "reject_rows",
+        "gold_rows",
+        "trend_valid_orders",
+    ),
 }
+_TYPE_OF = {name: kind for kind, names in _COLUMN_TYPES.items() for name in names}
 
 
 def _ddl(columns: list[str]) -> str:
-    """Counts, rows and durations are bigint, whatever else is not listed is text."""
+    return ", ".join(f"{name} {_TYPE_OF.get(name, 'string')}" for name in columns)
 
-    def kind(name: str) -> str:
-        if name in _COLUMN_TYPES:
-            return _COLUMN_TYPES[name]
-        return "bigint" if name.endswith(("_cnt", "_rows", "_ms")) else "string"
-
-    return ", ".join(f"{name} {kind(name)}" for name in columns)
 
+# Distinct raw rows as the first build stages them, by the day of their time (null: unparsable).
+STAGED = T.StructType(
+    [
+        *all_strings(ORDER_FIELDS).fields,
+        T.StructField("copies", T.LongType()),
+        T.StructField("ts", T.TimestampType()),
+        T.StructField("qty", T.IntegerType()),
+        T.StructField("price", T.DecimalType(12, 2)),
+        T.StructField("discount", T.DecimalType(12, 2)),
+        T.StructField("paid", T.DecimalType(14, 2)),
+        T.StructField("is_bad_status", T.BooleanType()),
+        T.StructField("has_blank", T.BooleanType()),
+        T.StructField("pay", T.DecimalType(14, 2)),
+        T.StructField("is_bad_time", T.BooleanType()),
+        T.StructField("is_bad_qty", T.BooleanType()),
+        T.StructField("is_bad_price", T.BooleanType()),
+        T.StructField("is_bad_amount", T.BooleanType()),
+        T.StructField("rule_code", T.StringType()),
+        T.StructField("stat_date", T.DateType()),
+    ]
+)
 
 # Stored tables by name; declaring them keeps empty tables readable.
 TABLES: dict[str, str | T.StructType] = {
     "ods_order_detail": all_strings([*ORDER_FIELDS, "batch_id"]),
     "ods_product": all_strings([*PRODUCT_FIELDS, "batch_id"]),
     "dwd_order_detail": SILVER,
+    "dwd_staged": STAGED,
     "dwd_clean_reject": _ddl(REJECT_COLUMNS),
     **{name: _ddl(columns) for name, columns in GOLD_COLUMNS.items()},
     "ads_clean_stat": _ddl(CLEAN_STAT_COLUMNS),
@@ -294,7 +330,7 @@ def table_columns(name: str) -> list[str]:
     return declared.fieldNames()
 
 
-# Marketplace dump: six text tables.
+# Column layouts of the marketplace dump, six text tables.
 MARKET_FIELDS = {
     "orders": [
         "order_id",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,18 +31,38 @@ def build_session(app: str = "merchlake", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def _shared_dir(spark: SparkSession) -> str | None:
-    return spark.conf.get(CHECKPOINT_KEY, None)
+def _local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that they share all folders."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder for intermediate data: the one the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without one uses a folder under its warehouse. Elsewhere there is no safe
+    choice: on a cluster each executor would write to its own disk, and reads would miss parts.
+    """
+    named = spark.conf.get(CHECKPOINT_KEY, None)
+    if named:
+        return named.rstrip("/")
+    if not _local(spark):
+        raise ValueError(f"name a folder that all executors share in {CHECKPOINT_KEY}")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the folder the cluster names; pick one only where none is named."""
+    """Point checkpoints at the shared folder where the context has none yet."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_shared_dir(spark) or tempfile.mkdtemp(prefix="merchlake-"))
+        context.setCheckpointDir(shared_root(spark))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for intermediate tables, in the cluster's shared folder when it names one."""
-    root = _shared_dir(spark) or tempfile.mkdtemp(prefix="merchlake-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for an intermediate table in the shared folder. All of an application's scratch
+    tables are deleted when it ends."""
+    root = f"{shared_root(spark)}/scratch-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return f"{root}/{label}-{uuid.uuid4().hex}"

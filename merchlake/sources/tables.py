@@ -11,7 +11,7 @@ from merchlake import schemas as S
 
 # Tables whose single days grow with the data. The other metric tables hold a row per day and
 # channel, province or category; a directory per day would hold next to nothing.
-BY_DAY = ("dwd_order_detail", "ads_product_stat")
+BY_DAY = ("dwd_order_detail", "ads_product_stat", "dwd_staged")
 
 
 @dataclass(frozen=True)
@@ -35,18 +35,45 @@ class Warehouse:
         """Replace the whole table; running it twice leaves one copy."""
         self._write(table, df, "static")
 
-    def overwrite_days(self, table: str, df: DataFrame) -> None:
-        """Replace only the days present in ``df``."""
-        if table not in self.by_day:
-            raise ValueError(f"{table} is not laid out by day")
-        self._write(table, df, "dynamic")
+    def replace_days(self, table: str, df: DataFrame, start: str, end: str) -> None:
+        """Replace all rows of a range of days by ``df``, whose days lie in it. Days of the range
+        that ``df`` does not hold end up empty; rows without a day stay.
 
-    def merge_days(self, table: str, df: DataFrame, start: str, end: str) -> None:
-        """Replace a range of days in a table without a layout by day."""
-        outside = ~F.col("stat_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-        merged = self.read(table).where(outside).unionByName(df.select(*S.table_columns(table)))
-        # The table is about to be overwritten, so its rows are saved elsewhere first.
-        self._write(table, merged.checkpoint(), "static")
+        A table laid out by day loses the directories of the range and gets new ones; running it
+        again after a failure in between gives the same table. Any other table is rewritten.
+        """
+        rows = df.select(*S.table_columns(table))
+        if table in self.by_day:
+            # The new rows may come from the directories about to go.
+            kept = rows.checkpoint()
+            self._drop_days(table, start, end)
+            self._write(table, kept, "dynamic")
+            return
+        inside = F.col("stat_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        others = self.read(table).where(~F.coalesce(inside, F.lit(False)))
+        self.rewrite(table, others.unionByName(rows))
+
+    def replace_loose(self, table: str, df: DataFrame) -> None:
+        """Replace the rows that belong to no day."""
+        rows = df.select(*S.table_columns(table)).where(F.col("stat_date").isNull())
+        if table in self.by_day:
+            self._write(table, rows, "dynamic")
+        else:
+            self.rewrite(table, self.read(table).where(F.col("stat_date").isNotNull()).unionByName(rows))
+
+    def rewrite(self, table: str, df: DataFrame) -> None:
+        """Replace a table by rows that were read from it: they are saved elsewhere first."""
+        self._write(table, df.select(*S.table_columns(table)).checkpoint(), "static")
+
+    def _drop_days(self, table: str, start: str, end: str) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        system = folder.getFileSystem(conf)
+        # One directory per calendar day.
+        for entry in system.listStatus(folder):
+            name = entry.getPath().getName()
+            if name.startswith("stat_date=") and start <= name.removeprefix("stat_date=") <= end:
+                system.delete(entry.getPath(), True)
 
     def append(self, table: str, df: DataFrame) -> None:
         df.select(*S.table_columns(table)).write.mode("append").parquet(self.path(table))
@@ -87,5 +114,6 @@ def write_jdbc(
 
     ``connections`` limits how many tasks write at once.
     """
-    out = df.coalesce(connections) if connections else df
+    # A repartition leaves the stages before it as wide as they are; only the writing is limited.
+    out = df.repartition(connections) if connections else df
     jdbc_writer(out, batch_size).jdbc(url, table, properties=properties)

@@ -40,6 +40,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderstatus",
         "o_orderpriority",
         F.expr("cast(cast(o_orderdate as date) as string)").alias("ds"),
+        F.expr(
+            "format_string('%02d:%02d:%02d', 8 + o_orderkey % 12, o_orderkey * 7 % 60, o_orderkey * 13 % 60)"
+        ).alias("tod"),
     )
     buyers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -50,10 +53,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return wide.selectExpr(
         "cast(l_orderkey as string) AS order_id",
-        """case when h < 15 then 'invalid_time'
-                when h < 125 then concat(replace(ds, '-', '/'), ' 10:00')
-                when h < 160 then concat(ds, 'T10:00:00')
-                else concat(ds, ' 10:00:00') end AS order_time""",
+        """case when h < 15 then 'no time'
+                when h < 125 then concat(replace(ds, '-', '/'), ' ', left(tod, 5))
+                when h < 160 then concat(ds, 'T', tod)
+                else concat(ds, ' ', tod) end AS order_time""",
         "cast(o_custkey as string) AS user_id",
         """case when h between 600 and 602 then concat('X', l_partkey)
                 else cast(l_partkey as string) end AS product_id""",
