@@ -69,6 +69,8 @@ def partners(lines: DataFrame, rare: int = RARE) -> DataFrame:
         held.groupBy("_h")
         .agg(F.min("_k").alias("_hub"), F.count(F.lit(1)).alias("_holders"))
         .where("_holders > 1")
+        # So that the join can split a line that very many documents hold.
+        .checkpoint()
     )
     led = (
         held.join(first, "_h")
