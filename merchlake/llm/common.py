@@ -109,7 +109,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # Large star: a node's larger neighbours hang on its smallest neighbour (or itself).
         both = links.select("_v", "_u").union(links.select(F.col("_u").alias("_v"), F.col("_v").alias("_u")))
         least = both.groupBy("_v").agg(F.min("_u").alias("_m"))
-        least = least.select("_v", F.least("_v", "_m").alias("_m"))
+        # Checkpointed, so that the join can split a node that very many links share.
+        least = least.select("_v", F.least("_v", "_m").alias("_m")).checkpoint()
         large = (
             links.select(F.col("_u").alias("_n"), F.col("_v").alias("_w"))
             .join(least.withColumnRenamed("_v", "_n"), "_n")
@@ -118,7 +119,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             .checkpoint()
         )
         # Small star: a node and its smaller neighbours hang on the smallest of them.
-        least = large.groupBy("_v").agg(F.min("_u").alias("_m"), F.count(F.lit(1)).alias("_c"))
+        least = large.groupBy("_v").agg(F.min("_u").alias("_m"))
         joined = large.join(least, "_v")
         small = (
             joined.select(F.explode(F.array("_v", "_u")).alias("_v"), F.col("_m").alias("_u"))
