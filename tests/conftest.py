@@ -40,19 +40,19 @@ def folder() -> str:
 def order_line(**fields: str | None) -> tuple:
     """A clean order line with some fields replaced."""
     line = {
-        "order_id": "A1",
-        "order_time": "2026-01-01 10:00:00",
-        "user_id": "U1",
-        "product_id": "P1",
-        "channel": "APP商城",
-        "province": "广东",
-        "city": "深圳",
+        "order_id": "S1",
+        "order_time": "2025-09-01 10:00:00",
+        "user_id": "V1",
+        "product_id": "T1",
+        "channel": "线下门店",
+        "province": "浙江",
+        "city": "宁波",
         "quantity": "1",
         "unit_price": "100.00",
         "discount_amount": "0.00",
         "pay_amount": "100.00",
         "order_status": "已完成",
-        "pay_type": "支付宝",
+        "pay_type": "现金",
     }
     line.update(fields)
     return tuple(line[name] for name in S.ORDER_FIELDS)
@@ -64,7 +64,7 @@ def orders_frame(spark: SparkSession, lines: list[tuple]) -> DataFrame:
 
 def products_frame(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     rows = rows or [
-        ("P1", "商品一", "C01", "类目一", "品牌A", "60.00", "2025-01-01"),
-        ("P2", "商品二", "C02", "类目二", "品牌B", "30.00", "2025-01-01"),
+        ("T1", "茶壶", "K10", "壶类", "青瓷", "48.50", "2024-05-20"),
+        ("T2", "茶杯", "K20", "杯类", "白瓷", "12.80", "2024-05-20"),
     ]
     return spark.createDataFrame(rows, S.PRODUCT_RAW)

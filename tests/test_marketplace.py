@@ -23,11 +23,11 @@ def rows_of(name, *rows):
 DUMP = {
     "orders": rows_of(
         "orders",
-        ("o1", "c1", "delivered", "2026-01-01 10:00:00"),
-        ("o2", "c2", "created", "2026-01-02 10:00:00"),
-        ("o3", "c3", "on_hold", "2026-01-02 11:00:00"),
-        ("o4", "c4", "unavailable", "2026-01-03 10:00:00"),
-        ("o5", "c1", "unavailable", "2026-01-04 10:00:00"),
+        ("o1", "c1", "delivered", "2025-09-01 10:00:00"),
+        ("o2", "c2", "created", "2025-09-02 10:00:00"),
+        ("o3", "c3", "on_hold", "2025-09-02 11:00:00"),
+        ("o4", "c4", "unavailable", "2025-09-03 10:00:00"),
+        ("o5", "c1", "unavailable", "2025-09-04 10:00:00"),
     ),
     "items": rows_of(
         "items",

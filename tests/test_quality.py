@@ -106,19 +106,37 @@ def test_csv_round_trip_keeps_quotes_commas_and_spaces(spark, folder):
         order_line(order_id="2", city=None, province="", pay_type=" "),
     ]
     path = f"{folder}/orders"
-    files.write_csv(orders_frame(spark, lines), path, single_file=True)
-    back = {r["order_id"]: r for r in files.scan_orders(spark, path).collect()}
+    files.write_csv(orders_frame(spark, lines), path)
+    back = {r["order_id"]: r for r in files.scan_orders(spark, path, escaped=True).collect()}
     assert (back['say "hi"']["city"], back['say "hi"']["province"]) == ("a,b", " padded ")
     assert (back["2"]["city"], back["2"]["province"], back["2"]["pay_type"]) == (None, None, " ")
 
 
-def test_export_doubles_quotes(spark, folder):
+def test_csv_doubles_quotes_and_keeps_records_on_a_line(spark, folder):
     from pathlib import Path
 
-    rows = spark.createDataFrame([('say "hi"', "a,b", "x\ny", "plain", None)], "a string, b string, c string, d string, e string")
-    files.export_csv(rows, f"{folder}/export")
+    from merchlake import schemas as S
+
+    row = ('say "hi"', "a,b", "x\ny\\n", "plain", "\\")
+    rows = spark.createDataFrame([row], "a string, b string, c string, d string, e string").coalesce(1)
+    files.write_csv(rows, f"{folder}/export")
     (part,) = Path(f"{folder}/export").glob("part-*.csv")
-    assert part.read_text(encoding="utf-8") == 'a,b,c,d,e\n"say ""hi""","a,b","x\ny",plain,\n'
+    assert part.read_text(encoding="utf-8").count("\n") == 2
+    assert '"say ""hi""","a,b",' in part.read_text(encoding="utf-8")
+    back = files.scan_csv(spark, f"{folder}/export", S.all_strings(list("abcde")), escaped=True)
+    assert tuple(back.first()) == row
+
+
+def test_csv_parts_are_in_order(spark, folder):
+    import csv
+    from pathlib import Path
+
+    rows = spark.range(0, 1000, 1, 8).select(F.col("id").cast("string").alias("v"), (-F.col("id")).alias("k"))
+    files.write_csv(rows.orderBy("k"), f"{folder}/sorted")
+    read = []
+    for part in sorted(Path(f"{folder}/sorted").glob("part-*.csv")):
+        read += [int(r["v"]) for r in csv.DictReader(part.open())]
+    assert read == list(range(999, -1, -1))
 
 
 def test_short_lines_are_kept(spark, folder):
@@ -127,9 +145,9 @@ def test_short_lines_are_kept(spark, folder):
     from merchlake import schemas as S
 
     path = Path(folder) / "orders.csv"
-    path.write_text(",".join(S.ORDER_FIELDS) + "\nA1,2026-01-01 10:00:00,U1\n", encoding="utf-8")
+    path.write_text(",".join(S.ORDER_FIELDS) + "\nS1,2025-09-01 10:00:00,V1\n", encoding="utf-8")
     row = files.scan_orders(spark, str(path)).first()
-    assert (row["order_id"], row["user_id"], row["product_id"]) == ("A1", "U1", None)
+    assert (row["order_id"], row["user_id"], row["product_id"]) == ("S1", "V1", None)
 
 
 def test_empty_tables_stay_readable(spark, staged, folder):
@@ -160,11 +178,36 @@ def test_jdbc_options(spark, staged):
     assert options == {"mode": "append", "batchsize": 2000, "isolationLevel": "READ_COMMITTED"}
 
 
-def test_scratch_tables_go_to_the_named_folder():
+def test_scratch_folder(spark):
     from types import SimpleNamespace
 
-    from merchlake.session import scratch_path
+    from merchlake.session import scratch_path, shared_root
+
+    def session(master, named=None):
+        conf = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "file:/w"}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: conf[key] or default),
+            sparkContext=SimpleNamespace(master=master),
+        )
 
-    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs://shared/scratch/"))
-    first, second = scratch_path(named, "t"), scratch_path(named, "t")
-    assert first.startswith("hdfs://shared/scratch/t-") and first != second
+    assert shared_root(session("spark://host:7077", "hdfs://shared/scratch/")) == "hdfs://shared/scratch"
+    assert shared_root(session("local[4]")) == "file:/w/_scratch"
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_root(session(master))
+    first, second = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert first != second and spark.sparkContext.applicationId in first
+
+
+def test_latest_quality_goes_by_time(spark):
+    import datetime as dt
+
+    from merchlake import schemas as S
+
+    counts = (1,) * 9
+    rows = [
+        ("B9", dt.date(2025, 9, 1), *counts, None, 0, dt.datetime(2025, 9, 1, 8)),
+        ("B10", dt.date(2025, 9, 1), *counts, None, 0, dt.datetime(2025, 9, 1, 9)),
+    ]
+    frame = spark.createDataFrame(rows, S.TABLES["ads_clean_stat"])
+    assert quality.latest_quality(frame).first()["batch_id"] == "B10"
