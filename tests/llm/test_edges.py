@@ -135,7 +135,7 @@ def test_packing_edges(docs):
 
 
 def test_very_long_text(spark):
-    text = " ".join(f"w{i * 7919 % 100003}" for i in range(120_000))
+    text = " ".join(f"w{i * 7919 % 130003}" for i in range(120_000))
     frame = spark.createDataFrame([(1, text), (2, "x " + text), (3, text[:5000])], "doc_id long, text string")
     words = {r.doc_id: (r.n_words, r.n_removed) for r in superkmer.remove_later(frame).collect()}
     assert words[1] == (120_000, 0) and words[2] == (120_001, 120_000)

@@ -9,13 +9,17 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from merchlake.llm import chat, common, exact_dedup, line_dedup, minhash, packing, sharding, suffix_dedup
 from merchlake.llm import words as W
 
+# The first call of a numpy or Spark path is slow.
+settings.register_profile("llm", deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+settings.load_profile("llm")
+
 TEXTS = st.lists(st.text(alphabet="aB é\n\t日.", max_size=12), max_size=6)
 
 
