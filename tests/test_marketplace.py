@@ -86,7 +86,7 @@ def test_products(market):
         "p3": ("CAT003", "未知类目"),
         "p4": ("CAT003", "未知类目"),
     }
-    assert got["product-one"]["product_name"] == "toys-product-"
+    assert got["product-one"]["product_name"] == "toys-product-one"
     assert (got["p2"]["brand"], got["p2"]["cost_price"], got["p2"]["launch_date"]) == ("未知", "0.00", "")
 
 
