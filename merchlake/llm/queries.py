@@ -76,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_two_fit": op10_best_two_fit,
 }
 
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": """
         SELECT doc_id,
@@ -103,4 +106,39 @@ ORACLE: dict[str, str] = {
                    AS loss_sha256,
                CAST(4 + sum(chars + 22) AS BIGINT) AS formatted_chars
         FROM sized GROUP BY conv_id""",
+    "op4_bbit_minhash": f"""
+        WITH RECURSIVE split AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+            FROM split, unnest(range(1, greatest(2, len(w) - 2))) AS t(i) WHERE len(w) > 0
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT x, y FROM (
+                SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+                FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL)
+            JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * c >= 80 * (p.n + q.n - c)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT reached.doc_id, y FROM reached JOIN links ON other = x
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+             JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON r.doc_id = d.doc_id""",
+    "op9_super_kmers": f"""
+        WITH split AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+        windows AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i : i + 19], ' ') ORDER BY doc_id, i) AS nth
+            FROM split, unnest(range(1, len(w) - 18)) AS t(i)
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + step AS place FROM windows, unnest(range(20)) AS t(step) WHERE nth > 1
+        ), words AS (SELECT doc_id, place, w[place] AS word FROM split, unnest(range(1, len(w) + 1)) AS t(place)),
+        kept AS (
+            SELECT words.doc_id, count(gone.place) AS n_removed,
+                   string_agg(word, ' ' ORDER BY words.place) FILTER (gone.place IS NULL) AS text
+            FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.place = words.place GROUP BY words.doc_id
+        )
+        SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept ON kept.doc_id = split.doc_id""",
 }
