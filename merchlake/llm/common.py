@@ -57,6 +57,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table made by ``stored`` that nothing will read again."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_name(prefix: str) -> str:
     """A column name that no input has."""
     return f"_{prefix}_{uuid.uuid4().hex[:12]}"

@@ -6,12 +6,11 @@ of equal bits, corrected for chance collisions, estimates the similarity of cand
 that may reach the threshold are confirmed on their full sets, and linked documents form components.
 
 No bucket's pairs are listed in full. Documents with equal sets are one class, the smallest doc_id
-stands for it. In each bucket every class first meets the bucket's smallest class only; of these the
-best estimate of each class is confirmed, then those that still lie in different components. Pairs
-inside a component need no look. Buckets that still hold several components are then searched across
-components, so that no link is lost: block against block, each pair of blocks in a task of its own,
-first by signatures for the classes that may have a link left, then these on their full sets. Only
-links are handed on, never pairs.
+stands for it. In each bucket every class first meets the bucket's smallest class only, and pairs
+whose estimate allows it are confirmed. Pairs inside a component need no look. Buckets that still
+hold several components are then searched across components, so that no link is lost: block against
+block, each pair of blocks in a group of its own, first by signatures for the classes that may have
+a link left, then these on their full sets. Only links are handed on, never pairs.
 
 Chances of losing a link of similarity 0.8: below 2e-7 in the bands (1 - 0.8^5)^40, and 4e-6 in the
 estimate (4.5 standard deviations); both fall fast above 0.8.
@@ -40,8 +39,9 @@ BITS, PER_LONG = 4, 16
 MINIMA = 208
 LONGS = MINIMA // PER_LONG
 SIGNATURE = [f"_s{i}" for i in range(LONGS)]
-# Classes in a block of a bucket.
-BLOCK = 256
+# Classes in a block of a bucket. Each row of a bucket is sent once per block of it, so blocks are as
+# large as a task can compare: two of them take some 150 MB.
+BLOCK = 1024
 # Standard deviations that an estimate may fall short by before a candidate is dropped.
 SLACK = 4.5
 
@@ -196,10 +196,13 @@ def _pairs_of_blocks(rows: DataFrame) -> GroupedData:
     dealt = rows.withColumn("_block", F.pmod(F.xxhash64("_c"), blocks)).withColumn(
         "_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
     )
+    # Few bytes but much work: a fixed number of tasks, which adaptive execution does not merge.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         dealt.withColumn("_i", F.least("_block", "_other"))
         .withColumn("_j", F.greatest("_block", "_other"))
         .drop("_other", "_m")
+        .repartition(parts, "_band", "_i", "_j")
         .groupBy("_band", "_i", "_j")
     )
 
@@ -290,16 +293,12 @@ def node_components(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
     scored = (
         stars.join(marks.alias("l"), F.col("_a") == F.col("l._c"))
         .join(marks.alias("r"), (F.col("_b") == F.col("r._c")) & sized)
-        .select("_a", "_b", matches("l", "r").alias("_m"))
-        .checkpoint()
+        .select("_a", "_b")
     )
     sets = C.stored(shingle_sets(docs, members.select("_c").distinct(), size), "sets")
 
-    best = scored.groupBy("_a").agg(F.max_by("_b", "_m").alias("_b"))
-    links = confirmed(best, sets, percent).checkpoint()
-    found = C.components(links)
-    apart = _labelled(_labelled(scored, found, "_a", "_ra"), found, "_b", "_rb").where("_ra <> _rb")
-    links = links.unionByName(confirmed(apart.select("_a", "_b"), sets, percent)).checkpoint()
+    # At most one pair per class and band.
+    links = confirmed(scored, sets, percent).checkpoint()
     found = C.components(links)
 
     # Buckets that still hold several components are searched across them.
@@ -310,6 +309,8 @@ def node_components(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
     links = links.unionByName(
         _pairs_of_blocks(some).applyInArrow(_links_across(percent), "_a long, _b long").distinct()
     ).checkpoint()
+    # The links are checkpointed, so nothing reads the sets again.
+    C.discard(sets)
     found = C.components(links).checkpoint()
     owned = signed.select("_k", "_n", "_digest").join(classes.select("_digest", "_c"), "_digest", "left")
     return owned, found
