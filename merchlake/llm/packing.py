@@ -16,6 +16,7 @@ rows are packed as often as they occur; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ from merchlake.llm import common as C
 CAPACITY = 2048
 CLOSING_ID = 0
 # Words that a Python worker remembers the ids of.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 PIECE = "_k long, piece int, start long, length long, ids_crc32 long"
 
 # The pattern and the byte alphabet of the tokenizer's vocabulary file.
@@ -41,6 +42,8 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 # White space for str.split that is none for the tokenizer, and what may start a special token.
 _ODD = re.compile(r"[\x1c-\x1f]|<\|")
+# Runs of Latin-1 characters that are neither letters, numbers, white space nor apostrophes.
+_MARKS = re.compile("([^\\sa-zªµºß-öø-ÿ0-9²³¹¼½¾']+)")
 
 
 def _alphabet() -> dict[int, str]:
@@ -77,7 +80,7 @@ class Encoder(dict):
         else:
             found = self[word] = self._whole(word)
             return found
-        found = self[word] = np.array(ids, "<u4").tobytes()
+        found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def ids(self, text: str) -> bytes:
@@ -85,7 +88,19 @@ class Encoder(dict):
             return self._whole(text)
         if len(self) > CACHED_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, self._parted(text)))
+
+    @staticmethod
+    def _parted(text: str) -> list[str]:
+        """Words, with punctuation apart where that is plain: fewer distinct ones to remember.
+        Apostrophes join with letters in ways that only the pattern knows."""
+        if "'" not in text:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text.split()
+            return _MARKS.sub(r" \1 ", text.lower()).split()
+        return text.split()
 
 
 _encoders: dict[str, Encoder] = {}
