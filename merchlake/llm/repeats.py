@@ -130,23 +130,26 @@ def shared(docs: DataFrame, spec: Windows) -> DataFrame:
     """The stretches whose gram occurs more than once in the corpus."""
     found = occurrences(docs, spec)
     again = found.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_g")
-    return C.stored(found.join(again, "_g"), "stretches")
+    # Checkpointed, so that the join reads two plain exchanges and adaptive execution can split a
+    # gram that a third of all documents hold.
+    return C.stored(found.join(again.checkpoint(), "_g"), "stretches")
 
 
 def distinct_stretches(found: DataFrame) -> DataFrame:
     """One row per distinct stretch with its first and last occurrence."""
-    return (
+    folded = (
         found.select("_g", "_s", F.col("_at").bitwiseAND(0xFFFF).alias("_shape"), _occurrence().alias("_o"))
         .groupBy("_g", "_s", "_shape")
         .agg(F.min("_o").alias("_first"), F.max("_o").alias("_last"))
     )
+    return C.stored(folded, "distinct")
 
 
 def contested(docs: DataFrame, distinct: DataFrame, spec: Windows) -> DataFrame:
     """The symbols of one copy of each stretch whose gram has several distinct ones: _route, where
     they meet, _k, _place of the first window, _again (whether the stretch occurs again), _text."""
     several = (
-        distinct.groupBy("_g").agg(F.count(F.lit(1)).alias("_stretches")).where("_stretches > 1")
+        distinct.groupBy("_g").agg(F.count(F.lit(1)).alias("_stretches")).where("_stretches > 1").checkpoint()
     )
     place = F.pmod("_first", F.lit(_PLACE).cast("decimal(38,0)"))
     wanted = (
