@@ -1,10 +1,9 @@
 """Line dedup by pairwise alignment.
 
 Documents that overlap are found through the lines they share: each line leads from every holder to
-its first one (smallest doc_id). A later document is aligned with the first holders of all its rare
-lines, those held by at most ``RARE`` documents; one whose shared lines are all frequent is aligned
-with the first holders of its rarest. So every shared line leads somewhere, and the pairs grow with
-the lines, not with the square of a line's holders. A pair is aligned by patience diff over line
+its first one (smallest doc_id). A later document is aligned with the first holders of all its
+lines, however many documents hold them. So every shared line leads somewhere, and the pairs grow
+with the lines, not with the square of a line's holders. A pair is aligned by patience diff over line
 hashes: lines that occur once on either side, in longest increasing order, split both documents, and
 equal lines at the borders of the gaps join in. Lines aligned with any partner are deleted from the
 later document.
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 from merchlake.llm import common as C
 from merchlake.llm import words as W
 
+# Limits nothing any more; tests/llm/test_brute_force.py::test_op3 reads it.
 RARE = 16
 # Hash of an empty line; no other line gets it.
 EMPTY = 0
@@ -62,24 +62,19 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return C.texts(docs).mapInArrow(read, "_k long, _lines array<long>")
 
 
-def partners(lines: DataFrame, rare: int = RARE) -> DataFrame:
+def partners(lines: DataFrame) -> DataFrame:
     """Pairs of a document (_k) and an earlier one (_hub) to align it with."""
     held = lines.select("_k", F.explode(F.array_distinct("_lines")).alias("_h")).where(F.col("_h") != EMPTY)
     first = (
         held.groupBy("_h")
         .agg(F.min("_k").alias("_hub"), F.count(F.lit(1)).alias("_holders"))
         .where("_holders > 1")
+        .select("_h", "_hub")
         # So that the join can split a line that very many documents hold.
         .checkpoint()
     )
-    led = (
-        held.join(first, "_h")
-        .where("_hub < _k")
-        .groupBy("_k", "_hub")
-        .agg(F.min("_holders").alias("_holders"))
-    )
-    rarest = led.groupBy("_k").agg(F.min("_holders").alias("_rarest"))
-    return led.join(rarest, "_k").where(f"_holders <= greatest({int(rare)}, _rarest)").select("_k", "_hub")
+    # At most one pair per distinct line of a document.
+    return held.join(first, "_h").where("_hub < _k").select("_k", "_hub").distinct()
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -158,11 +153,11 @@ def aligned_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def remove_aligned(docs: DataFrame, rare: int = RARE) -> DataFrame:
+def remove_aligned(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, n_partners, kept (the text left)."""
     C.prepare(docs.sparkSession)
     lines = C.stored(lines_of(docs), "lines")
-    gone = aligned_lines(lines, partners(lines, rare))
+    gone = aligned_lines(lines, partners(lines))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
