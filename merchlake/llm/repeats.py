@@ -10,9 +10,10 @@ gram travel together as one stretch. What is shuffled:
 3. the symbols of one copy of every distinct stretch whose gram has several of them; these meet by
    gram and are compared exactly, window by window.
 
-Where a gram has very many distinct stretches, they are cut into blocks of windows at the same
-distance from the gram and meet by the symbols that all windows of a block share: equal windows
-still meet, others part. Documents are read by all steps whole; only doc_id joins move their texts.
+Where a gram has very many distinct stretches, no group of them is made. They are cut into blocks of
+windows at the same distance from the gram; blocks whose common symbols occur in one stretch only
+end here, and the windows of the others are counted by their hashes, map-side first. Documents are
+read by all steps whole; only doc_id joins move their texts.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from merchlake.llm import common as C
 from merchlake.llm import words as W
 
-# Distinct stretches of a gram that still meet in one group, and windows in a block beyond that.
+# Distinct stretches of a gram that still meet in one group.
 MOST_STRETCHES = 4096
 POOL_BYTES = 1 << 20
 _PLACE = 1 << 32
@@ -54,8 +55,8 @@ def parse_words(data: np.ndarray, offsets: np.ndarray) -> Parsed:
 
 @dataclass(frozen=True)
 class Windows:
-    """Windows of ``length`` symbols that pick among grams of ``gram`` symbols; hot grams are cut
-    into blocks of ``block`` windows. A window has at most 256 grams."""
+    """Windows of ``length`` symbols that pick among grams of ``gram`` symbols; stretches of hot grams
+    are cut into blocks of ``block`` windows. A window has at most 256 grams."""
 
     parse: Callable[[np.ndarray, np.ndarray], Parsed]
     length: int
@@ -145,73 +146,123 @@ def distinct_stretches(found: DataFrame) -> DataFrame:
     return C.stored(folded, "distinct")
 
 
-def contested(docs: DataFrame, distinct: DataFrame, spec: Windows) -> DataFrame:
-    """The symbols of one copy of each stretch whose gram has several distinct ones: _route, where
-    they meet, _k, _place of the first window, _again (whether the stretch occurs again), _text."""
-    several = (
-        distinct.groupBy("_g").agg(F.count(F.lit(1)).alias("_stretches")).where("_stretches > 1").checkpoint()
-    )
+def _several(distinct: DataFrame) -> DataFrame:
+    """Grams with several distinct stretches (_g) and how many (_stretches)."""
+    return distinct.groupBy("_g").agg(F.count(F.lit(1)).alias("_stretches")).where("_stretches > 1").checkpoint()
+
+
+def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents that hold the first occurrences of ``wanted`` stretches, with these as a list."""
     place = F.pmod("_first", F.lit(_PLACE).cast("decimal(38,0)"))
-    wanted = (
-        distinct.join(several, "_g")
-        .select(
+    per_doc = (
+        wanted.select(
             ((F.col("_first") - place) / F.lit(_PLACE)).cast("bigint").alias("_k"),
             F.struct(
-                "_g",
-                "_s",
-                place.cast("bigint").alias("_place"),
-                F.col("_shape"),
-                (F.col("_first") != F.col("_last")).alias("_again"),
-                (F.col("_stretches") > spec.most_stretches).alias("_hot"),
+                "_g", "_s", place.cast("bigint").alias("_place"), "_shape", (F.col("_first") != F.col("_last")).alias("_again")
             ).alias("_one"),
         )
         # At most as many as the document has stretches.
         .groupBy("_k")
         .agg(F.collect_list("_one").alias("_wanted"))
     )
+    return C.texts(docs).join(per_doc, "_k")
+
+
+def _found_again(
+    batches: Iterator[pa.RecordBatch], spec: Windows
+) -> Iterator[list[tuple[int, dict, Parsed, np.ndarray, int, int]]]:
+    """Per chunk of texts its wanted stretches: document, stretch, chunk, prefix sums, first and end
+    symbol."""
+    for batch in batches:
+        keys = batch.column("_k").to_pylist()
+        for start, end, data, offsets in C.text_chunks(batch):
+            parsed = spec.parse(data, offsets)
+            sums = W.prefix_sums(parsed.symbols)
+            out = []
+            for text, wanted in enumerate(batch.column("_wanted").slice(start, end - start).to_pylist()):
+                for one in wanted:
+                    first = int(parsed.places[text]) + one["_place"]
+                    last = first + (one["_shape"] >> 8) + spec.length
+                    # Rows that repeat doc_id may have other texts.
+                    if last > parsed.places[text + 1]:
+                        continue
+                    if W.span_hash(sums, np.array([first]), np.array([last])).view(np.int64)[0] != one["_s"]:
+                        continue
+                    out.append((keys[start + text], one, parsed, sums, first, last))
+            yield out
+
+
+def contested(docs: DataFrame, distinct: DataFrame, several: DataFrame, spec: Windows) -> DataFrame:
+    """The symbols of one copy of each stretch whose gram has several distinct ones, but not very
+    many: _route, where they meet, _k, _place of the first window, _again (whether the stretch occurs
+    again), _text."""
+    some = several.where(F.col("_stretches") <= spec.most_stretches).select("_g")
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _found_again(batches, spec):
+            out = [
+                (one["_g"], key, one["_place"], one["_again"], parsed.cut(first, end))
+                for key, one, parsed, _, first, end in found
+            ]
+            columns = list(zip(*out, strict=True)) if out else [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)],
+                names=["_route", "_k", "_place", "_again", "_text"],
+            )
+
+    return _with_texts(docs, distinct.join(some, "_g")).mapInArrow(
+        emit, "_route long, _k long, _place long, _again boolean, _text binary"
+    )
+
 
-    def pieces(parsed: Parsed, sums: np.ndarray, text: int, one: dict) -> Iterator[tuple[int, int, bytes]]:
-        """Route, place and bytes of what meets of one stretch."""
-        many, lead = (one["_shape"] >> 8) + 1, one["_shape"] & 0xFF
-        base = int(parsed.places[text])
-        first, end = base + one["_place"], base + one["_place"] + many + spec.length - 1
-        if end > parsed.places[text + 1]:
-            return
-        if W.span_hash(sums, np.array([first]), np.array([end])).view(np.int64)[0] != one["_s"]:
-            return
-        if not one["_hot"]:
-            yield one["_g"], one["_place"], parsed.cut(first, end)
-            return
-        for block in range((lead - many + 1) // spec.block, lead // spec.block + 1):
-            nearest, farthest = block * spec.block, (block + 1) * spec.block - 1
-            low, high = max(0, lead - farthest), min(many - 1, lead - nearest)
-            anchor = first + lead
-            core = np.array([anchor - nearest]), np.array([anchor - farthest + spec.length])
-            route = W.mix(W.span_hash(sums, *core) + np.array([one["_g"] & (2**64 - 1)], np.uint64) + np.uint64(block))
-            yield int(route.view(np.int64)[0]), one["_place"] + low, parsed.cut(first + low, first + high + spec.length)
+def hot_windows(docs: DataFrame, distinct: DataFrame, several: DataFrame, spec: Windows) -> DataFrame | None:
+    """The windows of one copy of each stretch whose gram has very many distinct ones, in the columns
+    of ``occurrences`` as stretches of one window; None if no gram has. Left out are windows of blocks
+    whose common symbols occur in one stretch only."""
+    many = several.where(F.col("_stretches") > spec.most_stretches).select("_g")
+    if many.isEmpty():
+        return None
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("_k").to_pylist()
-            for start, end, data, offsets in C.text_chunks(batch):
-                parsed = spec.parse(data, offsets)
-                sums = W.prefix_sums(parsed.symbols)
-                out: list[tuple] = []
-                for text, wanted in enumerate(batch.column("_wanted").slice(start, end - start).to_pylist()):
-                    for one in wanted:
-                        for route, at, cut in pieces(parsed, sums, text, one):
-                            out.append((route, keys[start + text], at, one["_again"], cut))
-                columns = list(zip(*out, strict=True)) if out else [()] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)],
-                    names=["_route", "_k", "_place", "_again", "_text"],
-                )
+        for found in _found_again(batches, spec):
+            routes, keys, places, hashes = [], [], [], [np.empty(0, np.uint64)]
+            for key, one, _, sums, first, _ in found:
+                windows, lead = (one["_shape"] >> 8) + 1, one["_shape"] & 0xFF
+                each = first + np.arange(windows)
+                own = W.span_hash(sums, each, each + spec.length)
+                for block in range((lead - windows + 1) // spec.block, lead // spec.block + 1):
+                    nearest, farthest = block * spec.block, (block + 1) * spec.block - 1
+                    low, high = max(0, lead - farthest), min(windows - 1, lead - nearest)
+                    anchor = first + lead
+                    core = np.array([anchor - nearest]), np.array([anchor - farthest + spec.length])
+                    gram = np.array([one["_g"] & (2**64 - 1)], np.uint64)
+                    route = W.mix(W.span_hash(sums, *core) + gram + np.uint64(block))
+                    routes.append(int(route.view(np.int64)[0]))
+                    keys.append(key)
+                    places.append(one["_place"] + low)
+                    hashes.append(own[low : high + 1])
+            ends = np.cumsum([0, *[len(h) for h in hashes[1:]]]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(routes, pa.int64()),
+                    pa.array(keys, pa.int64()),
+                    pa.array(places, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(hashes).view(np.int64))),
+                ],
+                names=["_g", "_k", "_place", "_windows"],
+            )
 
-    return (
-        C.texts(docs)
-        .join(wanted, "_k")
-        .mapInArrow(emit, "_route long, _k long, _place long, _again boolean, _text binary")
+    blocks = C.stored(
+        _with_texts(docs, distinct.join(many, "_g")).mapInArrow(
+            emit, "_g long, _k long, _place long, _windows array<long>"
+        ),
+        "blocks",
+    )
+    met = blocks.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_g").checkpoint()
+    each = blocks.join(met, "_g").select("_g", "_k", "_place", F.posexplode("_windows").alias("_i", "_s"))
+    return C.stored(
+        each.select("_g", "_s", "_k", F.shiftleft(F.col("_place") + F.col("_i"), 16).alias("_at")), "windows"
     )
 
 
@@ -275,7 +326,10 @@ def resolved(met: DataFrame, judge: Callable[[Pool], tuple[np.ndarray, np.ndarra
 
 
 def _pools(table: pa.Table) -> Iterator[Pool]:
-    batch = table.combine_chunks().to_batches()[0]
+    # 64-bit offsets, so that texts of more than 2 GiB stay in one piece.
+    at = table.schema.get_field_index("_text")
+    wide = table.set_column(at, "_text", table.column("_text").cast(pa.large_binary()))
+    (batch,) = wide.combine_chunks().to_batches()
     data, offsets = _binary(batch.column("_text"))
     yield Pool(
         batch.column("_route").to_numpy(),
@@ -289,7 +343,7 @@ def _pools(table: pa.Table) -> Iterator[Pool]:
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     _, ends, data = column.buffers()
-    offsets = np.frombuffer(ends, np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    offsets = np.frombuffer(ends, np.int64, len(column) + 1, column.offset * 8)
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
@@ -305,6 +359,23 @@ def spans_of(found: DataFrame, distinct: DataFrame, which: Column, length: int)
     )
 
 
+def repeated(
+    docs: DataFrame, spec: Windows, judge: Callable[[Pool], tuple[np.ndarray, np.ndarray]], which: Column
+) -> DataFrame:
+    """Spans (_k, _start, _end) of repeated windows: ``which`` names occurrences (_o) of stretches or
+    windows by the first of their kind (_first), ``judge`` compares different stretches of a gram."""
+    found = shared(docs, spec)
+    distinct = distinct_stretches(found)
+    several = _several(distinct)
+    spans = spans_of(found, distinct, which, spec.length).unionByName(
+        resolved(contested(docs, distinct, several, spec), judge, spec.length)
+    )
+    windows = hot_windows(docs, distinct, several, spec)
+    if windows is None:
+        return spans
+    return spans.unionByName(spans_of(windows, distinct_stretches(windows), which, spec.length))
+
+
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Every document with its spans as a list of start * 2^32 + end."""
     # At most as many as the document has windows.

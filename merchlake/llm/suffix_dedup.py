@@ -74,10 +74,7 @@ def _repeated(length: int):
 def repeated_spans(docs: DataFrame, spec: R.Windows = WINDOWS) -> DataFrame:
     """Spans (_k, _start, _end) of all windows that occur more than once."""
     C.prepare(docs.sparkSession)
-    found = R.shared(docs, spec)
-    distinct = R.distinct_stretches(found)
-    whole = R.spans_of(found, distinct, F.lit(True), spec.length)
-    return whole.unionByName(R.resolved(R.contested(docs, distinct, spec), _repeated(spec.length), spec.length))
+    return R.repeated(docs, spec, _repeated(spec.length), F.lit(True))
 
 
 def remove_repeats(docs: DataFrame, spec: R.Windows = WINDOWS) -> DataFrame:

@@ -53,10 +53,7 @@ def _later(length: int):
 def later_spans(docs: DataFrame, spec: R.Windows = WINDOWS) -> DataFrame:
     """Spans (_k, _start, _end) in words of all windows that also start earlier."""
     C.prepare(docs.sparkSession)
-    found = R.shared(docs, spec)
-    distinct = R.distinct_stretches(found)
-    whole = R.spans_of(found, distinct, F.col("_o") > F.col("_first"), spec.length)
-    return whole.unionByName(R.resolved(R.contested(docs, distinct, spec), _later(spec.length), spec.length))
+    return R.repeated(docs, spec, _later(spec.length), F.col("_o") > F.col("_first"))
 
 
 def remove_later(docs: DataFrame, spec: R.Windows = WINDOWS) -> DataFrame:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from merchlake.llm import line_dedup
+import dataclasses
+
+import numpy as np
+from test_brute_force import removed_bytes, removed_words
+
+from merchlake.llm import line_dedup, repeats, suffix_dedup, superkmer
 
 
 def all_first_holders(texts):
@@ -30,3 +35,33 @@ def test_frequent_lines_beside_rare_ones(spark):
     found = {r.doc_id: (r.n_removed, r.n_partners, r.kept) for r in rows}
     assert found == all_first_holders(texts)
     assert not [k for k in found if k and "shared by all" in found[k][2]]
+
+
+def test_passage_in_many_surroundings(spark, monkeypatch):
+    """A passage in 60 documents with different surroundings: no group of one task gets more than
+    ``most_stretches`` stretches, and what repeats goes."""
+    rng = np.random.default_rng(7)
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = {}
+    for key in range(60):
+        before, after = (" ".join(f"{rng.integers(10**6)}" for _ in range(9)) for _ in range(2))
+        texts[key] = f"{before} {passage} {after}".encode()
+    texts[60] = texts[1] + b" x " + texts[2]
+    frame = spark.createDataFrame([(k, t.decode()) for k, t in texts.items()], "doc_id long, text string")
+    largest, resolved = [], repeats.resolved
+
+    def watched(met, *others):
+        largest.append(max((r["count"] for r in met.groupBy("_route").count().collect()), default=0))
+        return resolved(met, *others)
+
+    monkeypatch.setattr(repeats, "resolved", watched)
+    spec = dataclasses.replace(suffix_dedup.WINDOWS, length=20, gram=6, block=3, most_stretches=8)
+    found = {
+        r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+        for r in suffix_dedup.remove_repeats(frame, spec).collect()
+    }
+    assert found == removed_bytes(texts, 20)
+    words = dataclasses.replace(superkmer.WINDOWS, length=6, gram=2, block=2, most_stretches=8)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept.encode()) for r in superkmer.remove_later(frame, words).collect()}
+    assert found == removed_words(texts, 6)
+    assert len(largest) == 2 and max(largest) <= 8
