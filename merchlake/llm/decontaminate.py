@@ -102,23 +102,25 @@ class Block:
         data, offsets = C.string_bytes(pa.array(texts, pa.string()))
         hashes, _, _, places = W.word_hashes(data, offsets, lower=True)
         self.items = [hashes[a:b] for a, b in zip(places, places[1:])]
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        # Per seed length: seeds in order, their items, and how often they occur there.
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         sizes = np.minimum(np.diff(places), seed)
         for size in np.unique(sizes[sizes > 0]).tolist():
-            grams, owners = [], []
+            grams, owners, times = [], [], []
             for at in np.flatnonzero(sizes == size).tolist():
-                gram = np.unique(W.gram_hash(W.prefix_sums(self.items[at]), size))
+                gram, many = np.unique(W.gram_hash(W.prefix_sums(self.items[at]), size), return_counts=True)
                 grams.append(gram)
+                times.append(many)
                 owners.append(np.full(len(gram), at))
-            gram, owner = np.concatenate(grams), np.concatenate(owners)
+            gram, owner, many = np.concatenate(grams), np.concatenate(owners), np.concatenate(times)
             order = np.argsort(gram, kind="stable")
-            self.by_size[size] = gram[order], owner[order]
+            self.by_size[size] = gram[order], owner[order], many[order]
 
     def candidates(self, hashes: np.ndarray, places: np.ndarray, coverage: float) -> list[tuple[int, int]]:
         """Pairs of a text and an item that share enough seeds to reach the coverage."""
         pairs = []
         text = np.repeat(np.arange(len(places) - 1), np.diff(places))
-        for size, (gram, owner) in self.by_size.items():
+        for size, (gram, owner, many) in self.by_size.items():
             if len(hashes) < size:
                 continue
             seen = W.gram_hash(W.prefix_sums(hashes), size)
@@ -133,9 +135,11 @@ class Block:
             count = np.searchsorted(gram, gram[once[1]], "right") - once[1]
             start = np.repeat(once[1], count)
             step = np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)
-            key, hits = np.unique(
-                np.stack([np.repeat(once[0], count), owner[start + step]]), axis=1, return_counts=True
+            key, pair = np.unique(
+                np.stack([np.repeat(once[0], count), owner[start + step]]), axis=1, return_inverse=True
             )
+            # Places in the item where a shared seed starts.
+            hits = np.bincount(pair.reshape(-1), many[start + step], key.shape[1])
             words = np.array([len(self.items[i]) for i in key[1].tolist()])
             # Tiles of the least length hold the most words per seed.
             enough = hits * size >= np.ceil(words * coverage)

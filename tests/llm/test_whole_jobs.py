@@ -7,7 +7,7 @@ import dataclasses
 import numpy as np
 from test_brute_force import removed_bytes, removed_words
 
-from merchlake.llm import line_dedup, repeats, suffix_dedup, superkmer
+from merchlake.llm import decontaminate, line_dedup, repeats, suffix_dedup, superkmer
 
 
 def all_first_holders(texts):
@@ -65,3 +65,12 @@ def test_passage_in_many_surroundings(spark, monkeypatch):
     found = {r.doc_id: (r.n_words, r.n_removed, r.kept.encode()) for r in superkmer.remove_later(frame, words).collect()}
     assert found == removed_words(texts, 6)
     assert len(largest) == 2 and max(largest) <= 8
+
+
+def test_item_of_one_repeated_word(spark):
+    """A verbatim copy of an item with one distinct seed is contaminated."""
+    refrain = " ".join(["la"] * 12)
+    docs = spark.createDataFrame([(1, f"so {refrain} end"), (2, "la la la la la no"), (3, "none")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, refrain)], "item_id long, text string")
+    rows = {r.doc_id: (r.contaminated, r.coverage, r.item_id) for r in decontaminate.contamination(docs, items).collect()}
+    assert rows == {1: (True, 1.0, 7), 2: (False, 0.0, None), 3: (False, 0.0, None)}
