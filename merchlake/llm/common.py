@@ -109,7 +109,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Neighbours' smallest labels are taken over alternately from larger and smaller neighbours
     (large star, small star), which halves the depth of trees in each round; both keep every
     component connected. A node with many neighbours is pre-aggregated map-side, and no row holds a
-    neighbour list. Each round is checkpointed.
+    neighbour list. Each round is checkpointed. Labels that are not final after ``rounds`` are an
+    error.
     """
     links = edges.where("_a <> _b").select(F.greatest("_a", "_b").alias("_v"), F.least("_a", "_b").alias("_u"))
     links = links.distinct().checkpoint()
@@ -141,4 +142,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         links = small
         if again.select("_v").unionAll(roots.select("_v")).isEmpty():
             break
+    else:
+        raise RuntimeError(f"components are not final after {rounds} rounds")
     return links.select(F.col("_v").alias("_node"), F.col("_u").alias("_root"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import dataclasses
 
 import numpy as np
+import pytest
 from test_brute_force import removed_bytes, removed_words
 
-from merchlake.llm import decontaminate, line_dedup, repeats, suffix_dedup, superkmer
+from merchlake.llm import common, decontaminate, line_dedup, repeats, suffix_dedup, superkmer
 
 
 def all_first_holders(texts):
@@ -74,3 +75,12 @@ def test_item_of_one_repeated_word(spark):
     items = spark.createDataFrame([(7, refrain)], "item_id long, text string")
     rows = {r.doc_id: (r.contaminated, r.coverage, r.item_id) for r in decontaminate.contamination(docs, items).collect()}
     assert rows == {1: (True, 1.0, 7), 2: (False, 0.0, None), 3: (False, 0.0, None)}
+
+
+def test_components_out_of_rounds(spark):
+    """A path that one round does not label is an error, not a split component."""
+    common.prepare(spark)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "_a long, _b long")
+    with pytest.raises(RuntimeError):
+        common.components(edges, rounds=1)
+    assert {r._root for r in common.components(edges).collect()} == {0}
