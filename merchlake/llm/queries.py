@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import chat, decontaminate, exact_dedup, line_dedup, minhash, packing, sharding, suffix_dedup, superkmer, toxicity
+from merchlake.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    lexical,
+    line_dedup,
+    minhash,
+    packing,
+    sharding,
+    suffix_dedup,
+    superkmer,
+    toxicity,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,6 +75,10 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op13_shared_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
     "op2_bucket_pointer_refinement": op2_bucket_pointer_refinement,
@@ -74,12 +90,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_super_kmers": op9_super_kmers,
     "op10_best_two_fit": op10_best_two_fit,
+    "op13_shared_terms": op13_shared_terms,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERMS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLE: dict[str, str] = {
+    "op13_shared_terms": f"""
+        WITH asked AS (
+            SELECT DISTINCT item_id, unnest({_TERMS.format(text=_LOWER)}) AS term FROM benchmark
+        ), split AS (
+            SELECT doc_id, {_TERMS.format(text=_LOWER)} AS words FROM documents
+        ), sized AS (
+            SELECT doc_id, words, len(words) AS n, count(*) OVER () AS all_docs, CAST(sum(len(words)) OVER () AS BIGINT) AS all_terms
+            FROM split WHERE len(words) > 0
+        ), held AS (
+            SELECT doc_id, term, count(*) AS tf, 50 + (50 * n * all_docs) // all_terms AS m, all_docs
+            FROM (SELECT doc_id, n, all_docs, all_terms, unnest(words) AS term FROM sized)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weighed AS (
+            SELECT *, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) OVER (PARTITION BY term) + 1))) AS BIGINT) AS w
+            FROM held
+        ), scored AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM asked JOIN weighed USING (term) GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 50""",
     "op8_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
