@@ -15,6 +15,7 @@ from merchlake.llm import (
     line_dedup,
     minhash,
     packing,
+    prefix_trie,
     sharding,
     suffix_dedup,
     superkmer,
@@ -75,6 +76,10 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_shared_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_super_kmers": op9_super_kmers,
     "op10_best_two_fit": op10_best_two_fit,
+    "op12_burst_trie": op12_burst_trie,
     "op13_shared_terms": op13_shared_terms,
 }
 
@@ -97,8 +103,44 @@ _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _TERMS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+# The checksum bit by bit, as DuckDB has no function for it.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
 
 ORACLE: dict[str, str] = {
+    "op12_burst_trie": f"""
+        WITH turns AS (
+            SELECT conv_id AS c, turn,
+                   sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id,
+                   len({_WORDS.format(text="coalesce(text, '')")}) AS words
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT c, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id) AS t, {_CRC32.format(text="CAST(c AS VARCHAR)")} % 4 AS h
+            FROM turns GROUP BY c
+        ), rebuilt AS (
+            SELECT own.c, list_concat(coalesce(lent.t, [])[1:own.h], own.t[own.h + 1:]) AS t
+            FROM own LEFT JOIN own lent ON lent.c = own.c - own.c % 20
+        ), paths AS (
+            SELECT c, len(t) AS size, d, sha256(array_to_string(list_transform(t[1:d], lambda x: x.id), '')) AS path,
+                   CASE WHEN d = 0 THEN 0 ELSE t[d].words END AS words
+            FROM rebuilt, unnest(range(0, len(t) + 1)) AS u(d)
+        ), nodes AS (
+            SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (size = d), '')) AS ends
+            FROM paths GROUP BY path, d
+        ), parents AS (
+            SELECT n.path, p.path AS up FROM nodes n JOIN paths p ON p.c = n.conv_id AND p.d = n.d - 1
+        ), children AS (SELECT up AS path, count(*) AS n FROM parents GROUP BY up),
+        below AS (
+            SELECT a.path, sum((n.n_convs - 1) * n.words) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+            FROM nodes n LEFT JOIN children k ON k.path = n.path JOIN paths a ON a.c = n.conv_id AND a.d <= n.d
+            GROUP BY a.path
+        )
+        SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+               leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+        FROM nodes n JOIN below USING (path) LEFT JOIN children k ON k.path = n.path
+             LEFT JOIN parents p ON p.path = n.path LEFT JOIN nodes up ON up.path = p.up""",
     "op13_shared_terms": f"""
         WITH asked AS (
             SELECT DISTINCT item_id, unnest({_TERMS.format(text=_LOWER)}) AS term FROM benchmark
