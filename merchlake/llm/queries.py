@@ -14,6 +14,7 @@ from merchlake.llm import (
     lexical,
     line_dedup,
     minhash,
+    nn_descent,
     packing,
     prefix_trie,
     sharding,
@@ -76,6 +77,10 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read(spark, sf_dir, "conversations"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_super_kmers": op9_super_kmers,
     "op10_best_two_fit": op10_best_two_fit,
+    "op11_nn_descent": op11_nn_descent,
     "op12_burst_trie": op12_burst_trie,
     "op13_shared_terms": op13_shared_terms,
 }
