@@ -36,14 +36,14 @@ from pyspark.sql import functions as F
 from merchlake.llm import common as C
 
 TOP = 20
-NEIGHBOURS = 40
-REVERSE = 16
-OFFERS = 16
+NEIGHBOURS = 56
+REVERSE = 64
+OFFERS = 24
 ORDERS, CHUNK, PLANES = 8, 512, 24
 BLOCK = 4096
 # The descent ends when fewer of all list entries than this are new.
-CHANGED = 0.05
-BEAM, WIDTH, QUERIES = 64, 32, 512
+CHANGED = 0.03
+BEAM, WIDTH, QUERIES = 80, 40, 512
 _SEED = 20240229
 
 
@@ -252,12 +252,12 @@ def meetings(graph: DataFrame) -> DataFrame:
 def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
     """Offers from one round: all that meet at a node are compared, but for pairs that met before."""
     asked = met.select("_block", F.explode("_w").alias("_v")).distinct()
-    worst = graph.select("_v", F.when(F.size("_s") == NEIGHBOURS, F.element_at("_s", -1)).alias("_worst"))
+    worst = graph.select("_v", "_w", F.when(F.size("_s") == NEIGHBOURS, F.element_at("_s", -1)).alias("_worst"))
     vectors = asked.join(nodes.select("_v", "_q", "_scale").join(worst, "_v"), "_v")
     none = F.lit(None)
     together = vectors.select(
         "_block", F.lit(0).alias("_kind"), "_v", "_q", "_scale", F.coalesce("_worst", F.lit(float("-inf"))).cast("float").alias("_worst"),
-        none.cast("array<long>").alias("_w"), none.cast("array<boolean>").alias("_new"),
+        "_w", none.cast("array<boolean>").alias("_new"),
     ).unionByName(
         met.select(
             "_block", F.lit(1).alias("_kind"), "_v", none.cast("binary").alias("_q"), none.cast("float").alias("_scale"),
@@ -275,12 +275,10 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int) ->
         vectors, scale = known.q[at], known.scale[at]
         scores = np.matmul(vectors, vectors.transpose(0, 2, 1)) * (scale[:, :, None] * scale[:, None, :])
         fit = wide[:, :, None] & wide[:, None, :] & (new[:, :, None] | new[:, None, :]) & (at[:, :, None] != at[:, None, :])
-        scores[~fit | (scores <= known.worst[at][:, :, None])] = -np.inf
-        most = min(OFFERS, scores.shape[2])
-        pick = np.argpartition(-scores, most - 1, axis=2)[:, :, :most]
-        found = np.take_along_axis(scores, pick, 2)
-        row, place, rank = np.nonzero(found > -np.inf)
-        return at[row, place], at[row, pick[row, place, rank]], found[row, place, rank]
+        row, place, other = np.nonzero(fit & (scores > known.worst[at][:, :, None]))
+        v, w, s = at[row, place], at[row, other], scores[row, place, other]
+        fresh = ~known.pairs(v, w)
+        return v[fresh], w[fresh], s[fresh]
 
     def finish(known: "_Vectors", found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         v, w, s = (np.concatenate([f[i] for f in found]) for i in range(3))
@@ -315,17 +313,31 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int) ->
 
 
 class _Vectors:
-    """The rounded vectors of a block, by node."""
+    """The rounded vectors of a block, by node, and the neighbours that these have."""
 
     def __init__(self, batches: list[pa.RecordBatch]):
         table = pa.Table.from_batches(batches)
         self.ids = table.column("_v").to_numpy()
         self.q = bytes_matrix(table.column("_q").to_pylist())
         self.scale, self.worst = table.column("_scale").to_numpy(), table.column("_worst").to_numpy()
+        # Pairs of a node and its neighbour, where both are here.
+        lists = table.column("_w").combine_chunks()
+        near = lists.flatten().to_numpy()
+        at = np.minimum(self.find(near), len(self.ids) - 1)
+        owner = np.repeat(np.arange(len(self.ids)), lists.value_lengths().to_numpy())
+        here = self.ids[at] == near
+        self.edges = np.sort(owner[here] * len(self.ids) + at[here])
 
     def find(self, ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ids, ids)
 
+    def pairs(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Which pairs are neighbours already."""
+        if not len(self.edges):
+            return np.zeros(len(v), bool)
+        keys = v * len(self.ids) + w
+        return self.edges[np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)] == keys
+
 
 class _Originals:
     """The original vectors of a block, by node, in double precision."""
