@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlake.llm import common as C
+from merchlake.llm import words as W
 
 TOP = 20
 NEIGHBOURS = 56
@@ -41,6 +42,8 @@ REVERSE = 64
 OFFERS = 24
 ORDERS, CHUNK, PLANES = 8, 512, 24
 BLOCK = 4096
+# Offers in one row, and nodes whose offers are merged together.
+BUNDLE, BUCKET = 8192, 2048
 # The descent ends when fewer of all list entries than this are new.
 CHANGED = 0.03
 BEAM, WIDTH, QUERIES = 80, 40, 512
@@ -114,11 +117,24 @@ def bytes_matrix(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), np.int8).reshape(-1, width).astype(np.float32)
 
 
-_OFFER = "_v long, _w array<long>, _s array<float>, _new array<boolean>"
-_NAMES = ["_v", "_w", "_s", "_new"]
+_NEAR = "_v long, _w array<long>, _s array<float>, _new array<boolean>"
+_NAMES = ["_bucket", "_v", "_w", "_s", "_new"]
+_OFFERED = "_bucket int, _v array<long>, _w array<long>, _s array<float>, _new array<boolean>"
 
 
-def first_offers(nodes: DataFrame, count: int, orders: int = ORDERS, chunk: int = CHUNK) -> DataFrame:
+def bundled(v: np.ndarray, w: np.ndarray, s: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Offers of a neighbour w to a node v as few rows: offers to nodes of one bucket travel together."""
+    bucket = (W.mix(v.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, v, w, s = bucket[order], v[order], w[order], s[order]
+    place = np.arange(len(v)) - np.searchsorted(bucket, bucket)
+    starts = np.flatnonzero(place % BUNDLE == 0)
+    ends = pa.array(np.r_[starts, len(v)].astype(np.int32))
+    columns = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (v, w, s.astype(np.float32), np.ones(len(v), bool))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *columns], names=_NAMES)
+
+
+def first_offers(nodes: DataFrame, count: int, buckets: int, orders: int = ORDERS, chunk: int = CHUNK) -> DataFrame:
     """The best neighbours of every node among those next to it in each order."""
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,12 +159,8 @@ def first_offers(nodes: DataFrame, count: int, orders: int = ORDERS, chunk: int
         np.fill_diagonal(scores, -np.inf)
         most = min(NEIGHBOURS // 2, len(ids) - 1)
         pick = np.argpartition(-scores, most - 1, axis=1)[:, :most] if most else np.empty((len(ids), 0), np.int64)
-        owner = np.repeat(np.arange(len(ids)), most)
-        lists = _lists(
-            owner, len(ids), ids[pick].ravel(), np.take_along_axis(scores, pick, 1).ravel().astype(np.float32),
-            np.ones(len(owner), bool),
-        )
-        return pa.RecordBatch.from_arrays([pa.array(ids), *lists], names=_NAMES)
+        near = np.take_along_axis(scores, pick, 1)
+        return bundled(np.repeat(ids, most), ids[pick].ravel(), near.ravel(), buckets)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -178,20 +190,18 @@ def first_offers(nodes: DataFrame, count: int, orders: int = ORDERS, chunk: int
     return (
         spread.repartitionByRange(parts, "_order", "_code", "_side")
         .sortWithinPartitions("_order", "_code", "_side")
-        .mapInArrow(chunks, _OFFER)
+        .mapInArrow(chunks, _OFFERED)
     )
 
 
-def merged(offers: DataFrame, most: int = NEIGHBOURS) -> DataFrame:
-    """One row per node: its ``most`` best neighbours, best first. Of a neighbour that is offered
-    several times the oldest entry stays."""
+def merged(offers: DataFrame, buckets: int, most: int = NEIGHBOURS) -> DataFrame:
+    """One row per node: its bucket and its ``most`` best neighbours, best first. Of a neighbour that
+    is offered several times the oldest entry stays."""
 
-    def merge(table: pa.Table) -> pa.RecordBatch:
-        lists = [pa.concat_arrays(table.column(c).chunks) if table.column(c).num_chunks else pa.array([]) for c in _NAMES]
-        ids, row = np.unique(lists[0].to_numpy(), return_inverse=True)
-        v = np.repeat(row, lists[1].value_lengths().to_numpy())
-        w, s = lists[1].flatten().to_numpy(), lists[2].flatten().to_numpy()
-        new = lists[3].flatten().to_numpy(zero_copy_only=False)
+    def merge(bucket: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        v, w, s, new = (
+            np.concatenate([b.column(c).flatten().to_numpy(zero_copy_only=False) for b in held]) for c in _NAMES[1:]
+        )
         order = np.lexsort((new, w, v))
         v, w, s, new = v[order], w[order], s[order], new[order]
         once = np.r_[True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])] if len(v) else np.empty(0, bool)
@@ -199,29 +209,28 @@ def merged(offers: DataFrame, most: int = NEIGHBOURS) -> DataFrame:
         order = np.lexsort((w, -s, v))
         v, w, s, new = v[order], w[order], s[order], new[order]
         keep = np.arange(len(v)) - np.searchsorted(v, v) < most
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids), *_lists(v[keep], len(ids), w[keep], s[keep], new[keep])], names=_NAMES
-        )
+        ids, owner = np.unique(v[keep], return_inverse=True)
+        lists = _lists(owner, len(ids), w[keep], s[keep], new[keep])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), bucket, np.int32)), pa.array(ids), *lists], names=_NAMES)
 
     def merge_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        now, held = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            if sum(b.num_rows for b in held) < 8 * C.ARROW_ROWS:
-                continue
-            table = pa.Table.from_batches(held)
-            ids = table.column("_v").to_numpy()
-            # The last node may go on in the next batch.
-            whole = int(np.searchsorted(ids, ids[-1]))
-            if whole:
-                yield merge(table.slice(0, whole))
-                held = table.slice(whole).to_batches()
+            marks = batch.column("_bucket").to_numpy()
+            cuts = np.flatnonzero(np.diff(marks)) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a == b:
+                    continue
+                if held and now != marks[a]:
+                    yield merge(now, held)
+                    held = []
+                now = int(marks[a])
+                held.append(batch.slice(a, b - a))
         if held:
-            yield merge(pa.Table.from_batches(held))
+            yield merge(now, held)
 
-    return offers.repartition("_v").sortWithinPartitions("_v").mapInArrow(merge_all, _OFFER)
+    order = offers.repartition(buckets, "_bucket").sortWithinPartitions("_bucket")
+    return order.mapInArrow(merge_all, f"_bucket int, {_NEAR}")
 
 
 def _block(key: str, blocks: int) -> Column:
@@ -249,7 +258,7 @@ def meetings(graph: DataFrame) -> DataFrame:
     )
 
 
-def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
+def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int, buckets: int) -> DataFrame:
     """Offers from one round: all that meet at a node are compared, but for pairs that met before."""
     asked = met.select("_block", F.explode("_w").alias("_v")).distinct()
     worst = graph.select("_v", "_w", F.when(F.size("_s") == NEIGHBOURS, F.element_at("_s", -1)).alias("_worst"))
@@ -289,9 +298,7 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int) ->
         v, w, s = v[once], w[once], s[once]
         keep = np.arange(len(v)) - np.searchsorted(v, v) < OFFERS
         v, w, s = v[keep], w[keep], s[keep]
-        owners, owner = np.unique(v, return_inverse=True)
-        lists = _lists(owner, len(owners), known.ids[w], s, np.ones(len(w), bool))
-        return pa.RecordBatch.from_arrays([pa.array(known.ids[owners]), *lists], names=_NAMES)
+        return bundled(known.ids[v], known.ids[w], s, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for known, parts in _per_block(batches, _Vectors):
@@ -307,8 +314,11 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int) ->
                 yield finish(known, found)
 
     order = together.repartition(blocks, "_block").sortWithinPartitions("_block", "_kind", "_v")
-    offers = order.mapInArrow(run, _OFFER)
-    old = graph.select("_v", "_w", "_s", F.transform("_new", lambda _: F.lit(False)).alias("_new"))
+    offers = order.mapInArrow(run, _OFFERED)
+    old = graph.select(
+        "_bucket", F.transform("_w", lambda _: F.col("_v")).alias("_v"), "_w", "_s",
+        F.transform("_new", lambda _: F.lit(False)).alias("_new"),
+    )
     return offers.unionByName(old)
 
 
@@ -386,12 +396,12 @@ def _per_block(batches: Iterator[pa.RecordBatch], collect: type) -> Iterator[tup
 def build(nodes: DataFrame, changed: float = CHANGED) -> DataFrame:
     """The neighbour graph: _v, its neighbours best first (_w) and their rounded scores (_s)."""
     count = nodes.count()
-    blocks = max(1, math.ceil(count / BLOCK))
-    graph = C.stored(merged(first_offers(nodes, count)), "graph")
+    blocks, buckets = max(1, math.ceil(count / BLOCK)), max(1, math.ceil(count / BUCKET))
+    graph = C.stored(merged(first_offers(nodes, count, buckets), buckets), "graph")
     while True:
         met = C.stored(meetings(graph).withColumn("_block", _block("_v", blocks)), "met")
         before = graph
-        graph = C.stored(merged(compared(graph, met, nodes, blocks)), "graph")
+        graph = C.stored(merged(compared(graph, met, nodes, blocks, buckets), buckets), "graph")
         C.discard(before)
         C.discard(met)
         moved = graph.agg(F.sum(F.size(F.filter("_new", lambda n: n))).alias("new"), F.sum(F.size("_w")).alias("all")).first()
