@@ -53,12 +53,28 @@ def stage(orders: DataFrame) -> DataFrame:
     )
 
 
+def merge_staged(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """R02 over two loads: staged rows of the same record, compared by all fields, become one and
+    their copies add up. Flags and parsed values follow from the fields."""
+    derived = [c for c in stored.columns if c not in (*S.ORDER_FIELDS, "copies", "rule_code")]
+    merged = (
+        stored.unionByName(fresh)
+        .groupBy(*S.ORDER_FIELDS)
+        .agg(F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in derived])
+    )
+    rule = R.reject_rule(F.col("is_bad_time"), F.col("is_bad_qty"), F.col("is_bad_price"), F.col("copies"))
+    return merged.withColumn("rule_code", rule).select(*stored.columns)
+
+
 def _now_or(moment: dt.datetime | None) -> Column:
     return F.current_timestamp() if moment is None else F.lit(moment)
 
 
-def rejects(staged: DataFrame, batch_id: str, at: dt.datetime | None = None) -> DataFrame:
-    """The discarded rows, each with the first rule that discards it and a short trace."""
+def rejects(
+    staged: DataFrame, batch_id: str, at: dt.datetime | None = None, keep: tuple[Column, ...] = ()
+) -> DataFrame:
+    """The discarded rows, each with the first rule that discards it and a short trace, and the
+    columns of ``keep``."""
     return staged.where(F.col("rule_code").isNotNull()).select(
         F.lit(batch_id).alias("batch_id"),
         "rule_code",
@@ -67,6 +83,7 @@ def rejects(staged: DataFrame, batch_id: str, at: dt.datetime | None = None) ->
         "product_id",
         R.raw_trace().alias("raw_record"),
         _now_or(at).alias("create_time"),
+        *keep,
     )
 
 
@@ -132,11 +149,7 @@ def missing_products(staged: DataFrame, products: DataFrame) -> DataFrame:
     return kept.join(known, F.col("product_id") == F.col("dim_product_id"), "left_anti")
 
 
-def rule_counters(staged: DataFrame, products: DataFrame) -> DataFrame:
-    """All nine counters in one aggregate over the staged rows.
-
-    Rules may overlap. R01 to R07 count distinct rows before discards, R08 counts kept rows.
-    """
+def _counters(staged: DataFrame, products: DataFrame, *by: str) -> DataFrame:
     c = F.col
     # One marker per product: a product listed twice must not count its rows twice.
     known = products.groupBy(c("product_id").alias("dim_product_id")).agg(F.lit(1).alias("known"))
@@ -146,7 +159,7 @@ def rule_counters(staged: DataFrame, products: DataFrame) -> DataFrame:
     def hits(flag: Column, name: str) -> Column:
         return F.count_if(flag).alias(name)
 
-    return rows.agg(
+    return rows.groupBy(*by).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_cnt"),
         hits(c("has_blank"), "null_field_cnt"),
         F.coalesce(F.sum(c("copies") - 1), F.lit(0)).alias("dup_record_cnt"),
@@ -157,3 +170,21 @@ def rule_counters(staged: DataFrame, products: DataFrame) -> DataFrame:
         hits(kept, "valid_cnt"),
         hits(~kept, "discard_cnt"),
     )
+
+
+def rule_counters(staged: DataFrame, products: DataFrame) -> DataFrame:
+    """All nine counters in one aggregate over the staged rows.
+
+    Rules may overlap. R01 to R07 count distinct rows before discards, R08 counts kept rows.
+    """
+    return _counters(staged, products)
+
+
+def day_counters(staged: DataFrame, products: DataFrame) -> DataFrame:
+    """The nine counters per day (``stat_date``; null: rows of no day). They add up."""
+    return _counters(staged, products, "stat_date")
+
+
+def summed_counters(counters: DataFrame) -> DataFrame:
+    """``rule_counters`` from those of all days."""
+    return counters.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in S.COUNTERS])

@@ -142,9 +142,19 @@ def overview(
     currency: str = S.DEFAULT_CURRENCY,
     at: dt.datetime | None = None,
 ) -> DataFrame:
+    return overview_rows(overview_measures(silver), batch_id, currency, at)
+
+
+def overview_rows(
+    measures: DataFrame,
+    batch_id: str,
+    currency: str = S.DEFAULT_CURRENCY,
+    at: dt.datetime | None = None,
+) -> DataFrame:
+    """The stored overview from one row of measures."""
     moment = F.current_timestamp() if at is None else F.lit(at)
     return (
-        kpi_rows(overview_measures(silver), currency)
+        kpi_rows(measures, currency)
         .withColumn("batch_id", F.lit(batch_id))
         .withColumn("update_time", moment)
         .select(*S.GOLD_COLUMNS["ads_overview"])

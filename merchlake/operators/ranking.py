@@ -1,6 +1,7 @@
 """Rank numbers, shares of a total and pages, without sorting an open-ended result in one task.
 
-Everything here is a lazy plan; nothing runs before the answer is asked for.
+Everything here is a lazy plan, and nothing runs before the answer is asked for, except that a page
+of the detail looks up where it begins and ends.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlake.functions.measures import ratio
+from merchlake.session import ensure_checkpoint_dir
 
 
 def number_rows(df: DataFrame, bucket: Column, order: list[Column], name: str) -> DataFrame:
@@ -86,53 +88,89 @@ def ranked_shares(groups: DataFrame, key: str, limit: int | None) -> DataFrame:
     )
 
 
+# Rows of one moment that one task still numbers.
+FEW_ROWS = 100_000
+
+
 def newest_rows(
-    df: DataFrame, day: str, time: str, ties: list[Column], start: int, size: int | None
+    df: DataFrame,
+    day: str,
+    time: str,
+    ties: list[Column],
+    start: int,
+    size: int | None,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """``size`` rows after the first ``start`` in falling order of ``time``, then by ``ties``; every
     row after them without a size. ``day`` is the day of ``time``; the answer is in order.
 
-    Rows are counted per day, which reads filter columns only, then per moment on the two days where
-    the page begins and ends. Only rows from the first to the last moment of the page are read in
-    full and sorted, over all tasks; of these two moments the rows that belong to other pages are
-    cut off by their number in the moment. A table laid out by day opens the days of the page only.
+    Where the page begins and ends is looked up when the plan is made: rows per day, a row per
+    calendar day, then rows per moment of the days of its first and last row. Both come from
+    ``moments`` (``day``, ``time``, ``_rows``) where a table of them is stored, else from ``df``. The
+    answer is then a plan with constant bounds, which open the days and the row groups of the page
+    only and are sorted over all tasks. Of the first and the last moment, rows that belong to other
+    pages are cut off by their number among the ties.
     """
     order = [F.desc(time), *ties]
     if start == 0 and size is None:
         return df.orderBy(*order)
-    end = None if size is None else start + size
-    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per calendar day meets in one task here.
-    newer = Window.orderBy(F.desc(day)).rowsBetween(Window.unboundedPreceding, -1)
-    days = per_day.withColumn("_before", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
-
-    def held(counted: DataFrame) -> DataFrame:
-        inside = F.col("_before") + F.col("_rows") > start
-        return counted.where(inside if end is None else inside & (F.col("_before") < end))
-
-    first_day = held(days).agg(F.max(day)).scalar()
-    last_day = held(days).agg(F.min(day)).scalar()
+    counted = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows")) if moments is None else (
+        moments.groupBy(day).agg(F.sum("_rows").alias("_rows"))
+    )
+    days, before = [], 0
+    for held_day, rows in sorted(((r[day], r["_rows"]) for r in counted.collect() if r[day] is not None), reverse=True):
+        if before + rows > start and (size is None or before < start + size):
+            days.append((held_day, before))
+        before += rows
+    if not days:
+        return df.where(F.lit(False))
+    end = before if size is None else min(before, start + size)
+    (first_day, newer), (last_day, newer_last) = days[0], days[-1]
+    on_edge = (F.col(day) == F.lit(first_day)) | (F.col(day) == F.lit(last_day))
+    if moments is None:
+        each = df.where(on_edge).groupBy(day, time).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        each = moments.where(on_edge)
     # The moments of two days at most, a row per second.
     later = Window.partitionBy(day).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, -1)
-    edges = (
-        df.where((F.col(day) == first_day) | (F.col(day) == last_day))
-        .groupBy(day, time)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_in_day", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
-        .join(days.select(F.col(day).alias("_day"), F.col("_before").alias("_newer")), F.col(day) == F.col("_day"))
-        .withColumn("_before", F.col("_newer") + F.col("_in_day"))
-    )
-    moments = held(edges)
-    first, last = moments.agg(F.max(time)).scalar(), moments.agg(F.min(time)).scalar()
-    skipped = moments.where(F.col(time) == first).agg(F.max("_before")).scalar()
-    ahead = moments.where(F.col(time) == last).agg(F.max("_before")).scalar()
-
-    days_of_page = (F.col(day) <= first_day) & (F.col(day) >= last_day)
-    page = df.where(days_of_page & (F.col(time) <= first) & (F.col(time) >= last))
-    edge = (F.col(time) == first) | (F.col(time) == last)
-    # Numbers within the first and the last moment only.
-    nth = F.row_number().over(Window.partitionBy(time).orderBy(*ties))
-    numbered = page.where(edge).withColumn("_nth", nth)
-    place = F.when(F.col(time) == first, F.col("_nth") + skipped).otherwise(F.col("_nth") + ahead)
-    wanted = place > start if end is None else (place > start) & (place <= end)
-    return page.where(~edge).unionByName(numbered.where(wanted).drop("_nth")).orderBy(*order)
+    ahead = F.when(F.col(day) == F.lit(first_day), F.lit(newer)).otherwise(F.lit(newer_last))
+    placed = each.withColumn("_before", ahead + F.coalesce(F.sum("_rows").over(later), F.lit(0)))
+    held = placed.where((F.col("_before") + F.col("_rows") > start) & (F.col("_before") < end))
+    edge = F.struct(time, "_before", "_rows")
+    bounds = held.agg(F.max(edge).alias("first"), F.min(edge).alias("last")).first()
+    first, last = bounds["first"], bounds["last"]
+
+    inside = (F.col(day) <= F.lit(first_day)) & (F.col(day) >= F.lit(last_day))
+    page = df.where(inside & (F.col(time) <= F.lit(first[time])) & (F.col(time) >= F.lit(last[time])))
+    # Moments that the page holds in part.
+    parts = {m[time]: m for m in (first, last) if m["_before"] < start or m["_before"] + m["_rows"] > end}
+    if not parts:
+        return page.orderBy(*order)
+    whole = page.where(~F.col(time).isin([F.lit(t) for t in parts]))
+    for moment, m in parts.items():
+        rows = page.where(F.col(time) == F.lit(moment))
+        whole = whole.unionByName(_slice(rows, ties, start - m["_before"], end - m["_before"], m["_rows"]))
+    return whole.orderBy(*order)
+
+
+def _slice(rows: DataFrame, order: list[Column], start: int, end: int, count: int) -> DataFrame:
+    """The rows from place ``start`` up to ``end`` in the given order, of ``count`` rows."""
+    if count <= FEW_ROWS:
+        nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
+        return rows.withColumn("_nth", nth).where((F.col("_nth") > start) & (F.col("_nth") <= end)).drop("_nth")
+    # Sorted over all tasks, in parts that follow the order; a row's place is its number in its part
+    # plus the sizes of the parts before.
+    ensure_checkpoint_dir(rows.sparkSession)
+    numbered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = numbered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_id", 33)
+    # A row per task.
+    sizes = sorted(map(tuple, numbered.groupBy(part.alias("p")).agg(F.count(F.lit(1))).collect()))
+    kept, before = F.lit(False), 0
+    for number, many in sizes:
+        low, high = max(start - before, 0), min(end - before, many)
+        if low < high:
+            place = F.col("_id") - F.lit(number << 33)
+            kept = kept | ((part == number) & (place >= low) & (place < high))
+        before += many
+    return numbered.where(kept).drop("_id")

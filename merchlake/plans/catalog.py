@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from merchlake import schemas as S
 from merchlake.functions import rules as R
-from merchlake.operators import cleanse, gold, marketplace, quality, reconcile
+from merchlake.operators import cleanse, gold, marketplace, quality, reconcile, serving
 from merchlake.plans import dashboard as D
 from merchlake.plans import etl, sql_build
 from merchlake.plans.query import AnalysisQuery
@@ -784,6 +784,44 @@ def product_routed(f: Frames) -> DataFrame:
     return D.product_top(_routed(f, "ads_product_stat"), SWAPPED_RANGE)
 
 
+def _served(f: Frames, by_day: tuple[str, ...] = ()) -> D.Tables:
+    """Stored silver and the narrow tables beside it."""
+    warehouse = Warehouse(f.spark, scratch_path(f.spark, "served"), by_day)
+    warehouse.overwrite("dwd_order_detail", f.silver)
+    detail = warehouse.read("dwd_order_detail")
+    for name in S.SERVING:
+        warehouse.overwrite(name, serving.table(name, detail))
+    return D.Tables.stored(warehouse, f.currency, ())
+
+
+@on_frames
+def overview_range_keys(f: Frames) -> DataFrame:
+    """A range of days answered from keys instead of the detail."""
+    return D.overview(_served(f), ONE_RANGE)
+
+
+@on_frames
+def order_page_indexed(f: Frames) -> DataFrame:
+    """A page whose place is read from the stored moments."""
+    return D.order_page(_served(f, ("dwd_order_detail",)), AnalysisQuery(page_num=3, page_size=50))
+
+
+@on_frames
+def order_page_totals_indexed(f: Frames) -> DataFrame:
+    return D.order_page_totals(_served(f), AnalysisQuery(page_num=3, page_size=50))
+
+
+@on_market
+def import_round_trip(m: dict[str, DataFrame]) -> DataFrame:
+    """The dump as CSV, converted to CSV by the import job, and scanned like any other source."""
+    spark = m["orders"].sparkSession
+    root = scratch_path(spark, "import")
+    for name, df in m.items():
+        files.write_csv(df, f"{root}/{name}")
+    written = etl.import_marketplace(spark, {name: f"{root}/{name}" for name in m}, f"{root}/converted")
+    return files.scan_orders(spark, written["ods_order_detail"])
+
+
 @on_frames
 def export_round_trip(f: Frames) -> DataFrame:
     """The export written as CSV parts and read back."""
@@ -819,7 +857,7 @@ def rebuilt_silver(f: Frames) -> DataFrame:
 
 @on_frames
 def rebuilt_rejects(f: Frames) -> DataFrame:
-    return _rebuilt(f, ()).read("dwd_clean_reject")
+    return _rebuilt(f, ()).read("dwd_clean_reject").drop("batch_id")
 
 
 @on_frames
@@ -836,3 +874,32 @@ def rebuilt_trend(f: Frames) -> DataFrame:
 @on_frames
 def rebuilt_bronze(f: Frames) -> DataFrame:
     return _rebuilt(f, ()).read("ods_order_detail").drop("batch_id")
+
+
+def _loaded(f: Frames) -> Warehouse:
+    """A warehouse after two loads; copies of a record are split between them."""
+    warehouse = Warehouse(f.spark, scratch_path(f.spark, "loaded"), ())
+    path = scratch_path(f.spark, "halves")
+    f.raw_orders.withColumn("half", F.monotonically_increasing_id() % 2).write.parquet(path)
+    halves = f.spark.read.parquet(path)
+    first, second = (halves.where(F.col("half") == half).select(*S.ORDER_FIELDS) for half in (0, 1))
+    etl.load_bronze(warehouse, first, f.raw_products, f.batch_id)
+    etl.build(warehouse, etl.DATAFRAME, f.batch_id, f.currency)
+    etl.load_more(warehouse, second, f.batch_id, f.currency)
+    return warehouse
+
+
+@on_frames
+def dedup_incremental(f: Frames) -> DataFrame:
+    """R02 over two loads, the second merged into the first."""
+    return _loaded(f).read("dwd_staged").where("copies > 1").select(*S.ORDER_FIELDS, "copies")
+
+
+@on_frames
+def overview_two_loads(f: Frames) -> DataFrame:
+    return _loaded(f).read("ads_overview")
+
+
+@on_frames
+def quality_two_loads(f: Frames) -> DataFrame:
+    return _loaded(f).read("ads_clean_stat").drop("run_date", "duration_ms")

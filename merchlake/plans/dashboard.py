@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from merchlake import schemas as S
 from merchlake.functions.measures import rollup_measures
 from merchlake.operators import gold as G
+from merchlake.operators import serving
 from merchlake.operators.ranking import newest_rows, ranked_shares, top_ranked
 from merchlake.plans import query as Q
 from merchlake.plans.query import AnalysisQuery
@@ -31,13 +32,15 @@ class Tables:
     """Silver and gold, from a warehouse or as plans not yet run.
 
     ``empty`` names the gold tables without rows; their questions go to silver. For stored tables
-    it is read from the files' footers once; plans not yet run count as filled.
+    it is read from the files' footers once; plans not yet run count as filled. ``serving`` has the
+    narrow tables for ranges of days and pages, or none.
     """
 
     silver: DataFrame
     gold: dict[str, DataFrame]
     currency: str = S.DEFAULT_CURRENCY
     empty: frozenset[str] = frozenset()
+    serving: dict[str, DataFrame] = dataclasses.field(default_factory=dict)
 
     @classmethod
     def stored(
@@ -48,7 +51,8 @@ class Tables:
     ) -> Tables:
         gold = {name: warehouse.read(name) for name in names}
         empty = frozenset(name for name in ROUTED if name in gold and not warehouse.rows(name))
-        return cls(warehouse.read("dwd_order_detail"), gold, currency, empty)
+        serving = {name: warehouse.read(name) for name in S.SERVING if warehouse.versions(name)}
+        return cls(warehouse.read("dwd_order_detail"), gold, currency, empty, serving)
 
 
 def _sourced(df: DataFrame, source: str) -> DataFrame:
@@ -61,9 +65,13 @@ CARD_COLUMNS = ["kpi_rank", "kpi_code", "kpi_name", "kpi_value", "kpi_unit", "kp
 
 
 def overview_on_demand(tables: Tables, query: AnalysisQuery) -> DataFrame:
-    """Nine KPIs over the filtered detail. Users are counted once over the whole range."""
-    rows = tables.silver.where(Q.row_filter(query))
-    cards = G.kpi_rows(G.overview_measures(rows), tables.currency)
+    """Nine KPIs over a range of days or the filtered detail. Users are counted once over the whole
+    range: by the stored keys of its days where no dimension is filtered, else in the detail."""
+    if tables.serving and not query.has_dimensions:
+        measures = serving.overview_measures(tables.serving, Q.date_filter(query))
+    else:
+        measures = G.overview_measures(tables.silver.where(Q.row_filter(query)))
+    cards = G.kpi_rows(measures, tables.currency)
     return _sourced(cards.select(*CARD_COLUMNS), ON_DEMAND)
 
 
@@ -287,7 +295,16 @@ def _newest(tables: Tables, query: AnalysisQuery, start: int, size: int | None)
     first = ["order_id", "product_id"]
     rest = [c for c in DETAIL_COLUMNS if c not in (*first, "order_time")]
     ties = [F.asc_nulls_first(c) for c in (*first, *rest)]
-    return newest_rows(rows, "stat_date", "order_time", ties, start, size)
+    return newest_rows(rows, "stat_date", "order_time", ties, start, size, _moments(tables, query))
+
+
+def _moments(tables: Tables, query: AnalysisQuery) -> DataFrame | None:
+    """Matching rows per moment, where a stored table tells them."""
+    if "dws_order_moment" not in tables.serving or query.has_dimensions or query.order_status:
+        return None
+    rows = "valid_cnt" if query.valid_only else "row_cnt"
+    counted = tables.serving["dws_order_moment"].where(Q.date_filter(query) & (F.col(rows) > 0))
+    return counted.select("stat_date", "order_time", F.col(rows).alias("_rows"))
 
 
 def order_page(tables: Tables, query: AnalysisQuery) -> DataFrame:
@@ -298,7 +315,11 @@ def order_page(tables: Tables, query: AnalysisQuery) -> DataFrame:
 def order_page_totals(tables: Tables, query: AnalysisQuery) -> DataFrame:
     """Row and page counts that go with ``order_page``."""
     size = query.page_size
-    counted = tables.silver.where(Q.detail_filter(query)).agg(F.count(F.lit(1)).alias("total"))
+    moments = _moments(tables, query)
+    if moments is None:
+        counted = tables.silver.where(Q.detail_filter(query)).agg(F.count(F.lit(1)).alias("total"))
+    else:
+        counted = moments.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"))
     return counted.select(
         F.lit(query.page_num).cast("bigint").alias("page_num"),
         F.lit(size).cast("bigint").alias("page_size"),

@@ -733,6 +733,12 @@ ON_BASE: dict[str, str] = {
               FROM orders GROUP BY 1)""",
 }
 ON_BASE["product_routed"] = ON_BASE["product_topn_gold"]
+ON_BASE["overview_range_keys"] = ON_BASE["overview_range"]
+ON_BASE["order_page_indexed"] = ON_BASE["order_page"]
+ON_BASE["order_page_totals_indexed"] = ON_BASE["order_page_totals"]
+ON_BASE["dedup_incremental"] = ON_BASE["r02_dedup"]
+ON_BASE["overview_two_loads"] = ON_BASE["overview_kpis"]
+ON_BASE["quality_two_loads"] = ON_BASE["clean_stat"]
 
 # Raw rows after the rebuild of a few days, from which everything follows as from any raw rows.
 _DAY = """CAST(CAST(coalesce(try_strptime(order_time, '%Y-%m-%d %H:%M:%S'), try_strptime(order_time, '%Y/%m/%d %H:%M'),
@@ -750,7 +756,7 @@ raw_orders AS (
 
 ON_MERGED: dict[str, str] = {
     "rebuilt_silver": f"SELECT {SILVER_TEXT.replace(', batch_id', '')} FROM silver",
-    "rebuilt_rejects": "SELECT * FROM rejected",
+    "rebuilt_rejects": "SELECT * EXCLUDE (batch_id) FROM rejected",
     "rebuilt_quality": f"SELECT {STAT.format(batch=C.REBUILD_BATCH)} FROM counters",
     "rebuilt_trend": trend(),
     "rebuilt_bronze": f"SELECT {FIELDS} FROM raw_orders",
@@ -793,6 +799,8 @@ ON_MARKET: dict[str, str] = {
     "csv_scan_marketplace": "SELECT * FROM market_cells",
 }
 
+ON_MARKET["import_round_trip"] = ON_MARKET["import_orders"]
+
 ORACLE: dict[str, str] = {
     **{name: f"WITH {BASE} {body}" for name, body in ON_BASE.items()},
     **{name: f"WITH {MARKET_PIPELINE} {body}" for name, body in ON_MARKET.items()},

@@ -309,6 +309,30 @@ STAGED = T.StructType(
     ]
 )
 
+# Counters of the rules, per day in ``dws_clean_counter`` and added up in ``ads_clean_stat``.
+COUNTERS = [
+    "raw_cnt",
+    "null_field_cnt",
+    "dup_record_cnt",
+    "invalid_time_cnt",
+    "invalid_amount_cnt",
+    "invalid_status_cnt",
+    "missing_dim_cnt",
+    "valid_cnt",
+    "discard_cnt",
+]
+
+# Tables that questions over ranges of days and pages are answered from, all by day.
+SERVING: dict[str, str] = {
+    "dws_day_sum": (
+        "stat_date date, row_cnt bigint, gmv decimal(24,2), sales_qty bigint, gross_amount decimal(33,2), "
+        "discount_amount decimal(24,2)"
+    ),
+    "dws_order_key": "stat_date date, order_id string, is_valid boolean, is_refunded boolean",
+    "dws_user_key": "stat_date date, user_id string",
+    "dws_order_moment": "stat_date date, order_time timestamp, row_cnt bigint, valid_cnt bigint",
+}
+
 # Stored tables by name; declaring them keeps empty tables readable.
 TABLES: dict[str, str | T.StructType] = {
     "ods_order_detail": all_strings([*ORDER_FIELDS, "batch_id"]),
@@ -318,6 +342,8 @@ TABLES: dict[str, str | T.StructType] = {
     "dwd_clean_reject": _ddl(REJECT_COLUMNS),
     **{name: _ddl(columns) for name, columns in GOLD_COLUMNS.items()},
     "ads_clean_stat": _ddl(CLEAN_STAT_COLUMNS),
+    "dws_clean_counter": _ddl(["stat_date", *COUNTERS]),
+    **SERVING,
     "etl_job_log": _ddl(JOB_LOG_COLUMNS),
     "etl_snapshot": _ddl(SNAPSHOT_COLUMNS),
 }
@@ -326,7 +352,7 @@ TABLES: dict[str, str | T.StructType] = {
 def table_columns(name: str) -> list[str]:
     declared = TABLES[name]
     if isinstance(declared, str):
-        return [part.split()[0] for part in declared.split(", ")]
+        return T.StructType.fromDDL(declared).fieldNames()
     return declared.fieldNames()
 
 

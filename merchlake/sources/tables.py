@@ -1,23 +1,87 @@
-"""Parquet tables under one root, and the JDBC sink."""
+"""Versioned Parquet tables under one root, and the JDBC sink."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlake import schemas as S
 
 # Tables whose single days grow with the data. The other metric tables hold a row per day and
 # channel, province or category; a directory per day would hold next to nothing.
-BY_DAY = ("dwd_order_detail", "ads_product_stat", "dwd_staged")
+BY_DAY = (
+    "ods_order_detail",
+    "dwd_staged",
+    "dwd_order_detail",
+    "dwd_clean_reject",
+    "ads_product_stat",
+    "dws_order_key",
+    "dws_user_key",
+)
+# Columns that a table is laid out by without declaring them.
+LOAD_DAY = "load_day"
+_DAY_COLUMN = {"ods_order_detail": LOAD_DAY, "dwd_clean_reject": LOAD_DAY}
+# Inside a day, files are sorted by these, so that their row groups can be skipped.
+_SORTED = {"dwd_order_detail": ("order_time",), "dws_order_key": ("order_id",), "dws_user_key": ("user_id",)}
+
+
+@dataclass(frozen=True)
+class Cover:
+    """The rows of earlier versions that a version stands for: everything, a range of days, single
+    days, rows without a day, or nothing (an addition)."""
+
+    everything: bool = False
+    start: str | None = None
+    end: str | None = None
+    days: tuple[str, ...] = ()
+    loose: bool = False
+
+    def rows(self, day: str | None) -> Column:
+        if self.everything or day is None:
+            return F.lit(self.everything)
+        parts = [F.col(day).isNull()] if self.loose else []
+        if self.start is not None:
+            parts.append(F.col(day).between(F.lit(self.start).cast("date"), F.lit(self.end).cast("date")))
+        if self.days:
+            parts.append(F.col(day).isin(*[F.lit(d).cast("date") for d in self.days]))
+        return F.coalesce(reduce(lambda a, b: a | b, parts, F.lit(False)), F.lit(False))
+
+    def holds(self, day: str) -> bool:
+        return self.everything or day in self.days or (self.start is not None and self.start <= day <= self.end)
+
+    def contains(self, other: Cover) -> bool:
+        """Whether nothing that ``other`` stands for outlives this version."""
+        if self.everything:
+            return True
+        if other.everything or (other.loose and not self.loose) or other == Cover():
+            return False
+        inside = other.start is None or (
+            self.start is not None and self.start <= other.start and other.end <= self.end
+        )
+        return inside and all(self.holds(day) for day in other.days)
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The declared tables as Parquet directories. ``by_day`` lists those partitioned by
-    ``stat_date``, so that a date filter prunes directories and a rerun replaces days."""
+    """The declared tables, each a folder of versions and manifests.
+
+    A write fills a version folder of its own, ``version=NUMBER-ID``, laid out by day for the tables
+    in ``by_day``. It is published by one small file in ``_manifest`` that lists the live versions in
+    order with the days each of them replaced; the file appears under its number by a rename. Readers
+    take the newest manifest and leave out rows that a later version covers, which prunes day
+    folders. So readers see a table as it was before or after a write and never in between, a write
+    that fails leaves nothing but an unnamed folder, a plan made before a write can still run, and
+    replacing some days writes these days only. ``vacuum`` deletes what is no longer named.
+
+    A rename that must not replace a file is exclusive on HDFS; elsewhere one writer per table at a
+    time is assumed.
+    """
 
     spark: SparkSession
     root: str
@@ -26,72 +90,154 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    # --- reading ------------------------------------------------------------------------------
+
     def read(self, table: str) -> DataFrame:
-        stored = self.spark.read.schema(S.TABLES[table]).parquet(self.path(table))
-        # Partition columns come last in the files' order; hand out the declared one.
-        return stored.select(*S.table_columns(table))
+        return self._live(table).select(*S.table_columns(table))
+
+    def rows(self, table: str) -> int:
+        """Row count of the live versions. Counting what was written, rather than adding up task
+        metrics, stays exact when tasks are run again after a lost executor."""
+        return self.read(table).count()
+
+    def versions(self, table: str) -> list[str]:
+        """The versions that readers see, oldest first."""
+        return [version for version, _ in self._entries(table)]
+
+    def read_dated(self, table: str) -> DataFrame:
+        """The table with the column it is laid out by, declared or not."""
+        return self._live(table).select(*self._columns(table))
+
+    def _live(self, table: str) -> DataFrame:
+        entries = self._entries(table)
+        if not entries:
+            raise FileNotFoundError(f"table {table} has no version under {self.path(table)}")
+        schema = T.StructType([*self._schema(table).fields, T.StructField("version", T.StringType())])
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        rows = reader.parquet(*[self._folder(table, version) for version, _ in entries])
+        day = self._day(table)
+        for place, (version, _) in enumerate(entries):
+            later = [cover.rows(day) for _, cover in entries[place + 1 :] if cover != Cover()]
+            if later:
+                rows = rows.where((F.col("version") != version) | ~reduce(lambda a, b: a | b, later))
+        return rows
+
+    # --- writing ------------------------------------------------------------------------------
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Replace the whole table; running it twice leaves one copy."""
-        self._write(table, df, "static")
+        self._write(table, df, Cover(everything=True))
 
-    def replace_days(self, table: str, df: DataFrame, start: str, end: str) -> None:
-        """Replace all rows of a range of days by ``df``, whose days lie in it. Days of the range
-        that ``df`` does not hold end up empty; rows without a day stay.
+    def replace_days(self, table: str, df: DataFrame, start: str, end: str, loose: bool = False) -> None:
+        """Replace all rows of a range of days, inclusive, and with ``loose`` those without a day, by
+        ``df``, whose rows lie there. Days that ``df`` does not hold end up empty."""
+        self._write(table, df, Cover(start=start, end=end, loose=loose))
 
-        A table laid out by day loses the directories of the range and gets new ones; running it
-        again after a failure in between gives the same table. Any other table is rewritten.
-        """
-        rows = df.select(*S.table_columns(table))
-        if table in self.by_day:
-            # The new rows may come from the directories about to go.
-            kept = rows.checkpoint()
-            self._drop_days(table, start, end)
-            self._write(table, kept, "dynamic")
-            return
-        inside = F.col("stat_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-        others = self.read(table).where(~F.coalesce(inside, F.lit(False)))
-        self.rewrite(table, others.unionByName(rows))
-
-    def replace_loose(self, table: str, df: DataFrame) -> None:
-        """Replace the rows that belong to no day."""
-        rows = df.select(*S.table_columns(table)).where(F.col("stat_date").isNull())
-        if table in self.by_day:
-            self._write(table, rows, "dynamic")
-        else:
-            self.rewrite(table, self.read(table).where(F.col("stat_date").isNotNull()).unionByName(rows))
-
-    def rewrite(self, table: str, df: DataFrame) -> None:
-        """Replace a table by rows that were read from it: they are saved elsewhere first."""
-        self._write(table, df.select(*S.table_columns(table)).checkpoint(), "static")
-
-    def _drop_days(self, table: str, start: str, end: str) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        system = folder.getFileSystem(conf)
-        # One directory per calendar day.
-        for entry in system.listStatus(folder):
-            name = entry.getPath().getName()
-            if name.startswith("stat_date=") and start <= name.removeprefix("stat_date=") <= end:
-                system.delete(entry.getPath(), True)
+    def replace_listed(self, table: str, df: DataFrame, days: list[str], loose: bool = False) -> None:
+        """Replace single days, and with ``loose`` the rows without a day."""
+        self._write(table, df, Cover(days=tuple(sorted(days)), loose=loose))
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.select(*S.table_columns(table)).write.mode("append").parquet(self.path(table))
+        self._write(table, df, Cover())
 
-    def rows(self, table: str) -> int:
-        """Row count from the Parquet footers. Counting what was written, rather than adding up
-        task metrics, stays exact when tasks are run again after a lost executor."""
-        return self.read(table).count()
+    def vacuum(self, table: str, manifests: int = 2) -> None:
+        """Delete versions that none of the newest ``manifests`` manifests names, the rest of failed
+        writes included, and older manifests. Plans made from those can no longer run."""
+        numbers = self._numbers(table)
+        keep = numbers[-manifests:]
+        live = {version for number in keep for version, _ in self._manifest(table, number)}
+        system, path = self._files(self.path(table))
+        for entry in system.listStatus(path):
+            name = entry.getPath().getName()
+            version = name.removeprefix("version=")
+            # A folder of the number to come may be a write under way.
+            if name.startswith("version=") and version not in live and keep and int(version.split("-")[0]) <= keep[-1]:
+                system.delete(entry.getPath(), True)
+        for number in numbers[:-manifests]:
+            system.delete(self._files(self._manifest_path(table, number))[1], False)
 
-    def _write(self, table: str, df: DataFrame, mode: str) -> None:
-        declared = df.select(*S.table_columns(table))
+    def _write(self, table: str, df: DataFrame, cover: Cover) -> None:
+        numbers = self._numbers(table)
+        number = numbers[-1] + 1 if numbers else 1
+        version = f"{number:08d}-{uuid.uuid4().hex[:8]}"
+        day = self._day(table)
+        rows = df if day is None or day in df.columns else df.withColumn(day, F.lit(None).cast("date"))
+        rows = rows.select(*self._columns(table))
         if table in self.by_day:
             # Rows of a day meet in few tasks, so few files; adaptive execution splits a hot
             # day over several tasks and merges small ones.
-            writer = declared.hint("rebalance", "stat_date").write.partitionBy("stat_date")
+            rows = rows.hint("rebalance", day)
+            if table in _SORTED:
+                rows = rows.sortWithinPartitions(day, *_SORTED[table])
+            writer = rows.write.partitionBy(day)
         else:
-            writer = declared.write
-        writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(self.path(table))
+            writer = rows.write
+        writer.parquet(self._folder(table, version))
+        before = [] if cover.everything else self._entries(table)
+        self._publish(table, number, [*[e for e in before if not cover.contains(e[1])], (version, cover)])
+
+    # --- manifests ----------------------------------------------------------------------------
+
+    def _publish(self, table: str, number: int, entries: list[tuple[str, Cover]]) -> None:
+        text = json.dumps([{"version": version, **vars(cover)} for version, cover in entries])
+        target = self._manifest_path(table, number)
+        system, path = self._files(target)
+        system.mkdirs(path.getParent())
+        _, draft = self._files(f"{self.path(table)}/_manifest/_draft-{uuid.uuid4().hex}")
+        stream = system.create(draft)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if system.exists(path) or not system.rename(draft, path):
+            system.delete(draft, False)
+            raise RuntimeError(f"another writer published version {number} of {table} first")
+
+    def _entries(self, table: str) -> list[tuple[str, Cover]]:
+        numbers = self._numbers(table)
+        return self._manifest(table, numbers[-1]) if numbers else []
+
+    def _manifest(self, table: str, number: int) -> list[tuple[str, Cover]]:
+        system, path = self._files(self._manifest_path(table, number))
+        stream = system.open(path)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        entries = []
+        for entry in json.loads(text):
+            version = entry.pop("version")
+            entries.append((version, Cover(**{**entry, "days": tuple(entry["days"])})))
+        return entries
+
+    def _numbers(self, table: str) -> list[int]:
+        system, path = self._files(f"{self.path(table)}/_manifest")
+        if not system.exists(path):
+            return []
+        names = [entry.getPath().getName() for entry in system.listStatus(path)]
+        return sorted(int(name) for name in names if name.isdigit())
+
+    def _manifest_path(self, table: str, number: int) -> str:
+        return f"{self.path(table)}/_manifest/{number:08d}"
+
+    def _folder(self, table: str, version: str) -> str:
+        return f"{self.path(table)}/version={version}"
+
+    def _files(self, path: str):
+        """The file system of a path, and the path as its own kind of object."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
+
+    # --- columns ------------------------------------------------------------------------------
+
+    def _day(self, table: str) -> str | None:
+        return _DAY_COLUMN.get(table, "stat_date" if "stat_date" in S.table_columns(table) else None)
+
+    def _columns(self, table: str) -> list[str]:
+        declared = S.table_columns(table)
+        day = self._day(table)
+        return declared if day is None or day in declared else [*declared, day]
+
+    def _schema(self, table: str) -> T.StructType:
+        declared = S.TABLES[table]
+        schema = T.StructType.fromDDL(declared) if isinstance(declared, str) else T.StructType(list(declared.fields))
+        return schema.add(LOAD_DAY, "date") if table in _DAY_COLUMN else schema
 
 
 def jdbc_writer(df: DataFrame, batch_size: int = 2000) -> DataFrameWriter:
