@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,27 +35,31 @@ _SORTED = {"dwd_order_detail": ("order_time",), "dws_order_key": ("order_id",),
 
 @dataclass(frozen=True)
 class Cover:
-    """The rows of earlier versions that a version stands for: everything, a range of days, single
-    days, rows without a day, or nothing (an addition)."""
+    """The rows of earlier versions that a version stands for: everything, ranges of days (first and
+    last, as text), rows without a day, or nothing (an addition)."""
 
     everything: bool = False
-    start: str | None = None
-    end: str | None = None
-    days: tuple[str, ...] = ()
+    ranges: tuple[tuple[str, str], ...] = ()
     loose: bool = False
 
+    @classmethod
+    def of_days(cls, days: Iterable[str], loose: bool = False) -> Cover:
+        """Single days; those that follow each other make one range."""
+        ranges: list[list[dt.date]] = []
+        for day in sorted(map(dt.date.fromisoformat, days)):
+            if ranges and day - ranges[-1][1] <= dt.timedelta(days=1):
+                ranges[-1][1] = day
+            else:
+                ranges.append([day, day])
+        return cls(ranges=tuple((str(first), str(last)) for first, last in ranges), loose=loose)
+
     def rows(self, day: str | None) -> Column:
         if self.everything or day is None:
             return F.lit(self.everything)
-        parts = [F.col(day).isNull()] if self.loose else []
-        if self.start is not None:
-            parts.append(F.col(day).between(F.lit(self.start).cast("date"), F.lit(self.end).cast("date")))
-        if self.days:
-            parts.append(F.col(day).isin(*[F.lit(d).cast("date") for d in self.days]))
-        return F.coalesce(reduce(lambda a, b: a | b, parts, F.lit(False)), F.lit(False))
-
-    def holds(self, day: str) -> bool:
-        return self.everything or day in self.days or (self.start is not None and self.start <= day <= self.end)
+        parts = [f"{day} BETWEEN DATE'{first}' AND DATE'{last}'" for first, last in self.ranges]
+        if self.loose:
+            parts.append(f"{day} IS NULL")
+        return F.expr(f"coalesce({' OR '.join(parts)}, false)") if parts else F.lit(False)
 
     def contains(self, other: Cover) -> bool:
         """Whether nothing that ``other`` stands for outlives this version."""
@@ -61,10 +67,7 @@ class Cover:
             return True
         if other.everything or (other.loose and not self.loose) or other == Cover():
             return False
-        inside = other.start is None or (
-            self.start is not None and self.start <= other.start and other.end <= self.end
-        )
-        return inside and all(self.holds(day) for day in other.days)
+        return all(any(a <= first and last <= b for a, b in self.ranges) for first, last in other.ranges)
 
 
 @dataclass(frozen=True)
@@ -131,11 +134,11 @@ class Warehouse:
     def replace_days(self, table: str, df: DataFrame, start: str, end: str, loose: bool = False) -> None:
         """Replace all rows of a range of days, inclusive, and with ``loose`` those without a day, by
         ``df``, whose rows lie there. Days that ``df`` does not hold end up empty."""
-        self._write(table, df, Cover(start=start, end=end, loose=loose))
+        self._write(table, df, Cover(ranges=((start, end),), loose=loose))
 
-    def replace_listed(self, table: str, df: DataFrame, days: list[str], loose: bool = False) -> None:
-        """Replace single days, and with ``loose`` the rows without a day."""
-        self._write(table, df, Cover(days=tuple(sorted(days)), loose=loose))
+    def replace(self, table: str, df: DataFrame, cover: Cover) -> None:
+        """Replace the rows that ``cover`` names by ``df``, whose rows lie there."""
+        self._write(table, df, cover)
 
     def append(self, table: str, df: DataFrame) -> None:
         self._write(table, df, Cover())
@@ -203,7 +206,7 @@ class Warehouse:
         entries = []
         for entry in json.loads(text):
             version = entry.pop("version")
-            entries.append((version, Cover(**{**entry, "days": tuple(entry["days"])})))
+            entries.append((version, Cover(**{**entry, "ranges": tuple(map(tuple, entry["ranges"]))})))
         return entries
 
     def _numbers(self, table: str) -> list[int]:
