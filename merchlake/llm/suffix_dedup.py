@@ -51,7 +51,7 @@ def refine(data: np.ndarray, offsets: np.ndarray, length: int, first: int = FIRS
     ids = _shared_buckets(at, grams[at], size)
     while reach < length:
         step = min(reach, length - reach)
-        at = np.flatnonzero((ids[: size - step] >= 0) & (ids[step:] >= 0))
+        at = np.flatnonzero((ids[: max(size - step, 0)] >= 0) & (ids[step:] >= 0))
         at = at[at + reach + step <= size]
         at = at[owner[at] == owner[at + reach + step - 1]]
         ids = _shared_buckets(at, ids[at] * size + ids[at + step], size)
