@@ -27,7 +27,7 @@ from merchlake.llm import repeats as R
 from merchlake.llm import words as W
 
 LENGTH = 200
-GRAM = 64
+GRAM = 112
 FIRST_BUCKETS = 50
 WINDOWS = R.Windows(R.parse_bytes, LENGTH, GRAM, block=16)
 

@@ -1,6 +1,6 @@
 """Repeated word windows by super-k-mers.
 
-A window of 20 words picks its minimiser, the five words with the smallest hash; consecutive windows
+A window of 20 words picks its minimiser, the ten words with the smallest hash; consecutive windows
 with the same minimiser form a super-k-mer, which travels as one packed string to the minimiser's
 bucket (see ``repeats``). There its windows are sorted by content, document and place; every window
 but the first of its kind starts earlier elsewhere, and the words it covers are removed.
@@ -25,7 +25,7 @@ from merchlake.llm import repeats as R
 from merchlake.llm import words as W
 
 LENGTH = 20
-MINIMISER = 5
+MINIMISER = 10
 WINDOWS = R.Windows(R.parse_words, LENGTH, MINIMISER, block=4)
 
 
