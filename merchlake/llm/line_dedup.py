@@ -1,12 +1,12 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through the lines they share: each line leads from every holder to
-its first one (smallest doc_id). A later document is aligned with the first holders of all its
-lines, however many documents hold them. So every shared line leads somewhere, and the pairs grow
-with the lines, not with the square of a line's holders. A pair is aligned by patience diff over line
-hashes: lines that occur once on either side, in longest increasing order, split both documents, and
-equal lines at the borders of the gaps join in. Lines aligned with any partner are deleted from the
-later document.
+Documents that overlap are found through the lines they share. A rare line, of at most ``RARE``
+holders, makes partners of each two of them. Of a more frequent line every holder is a partner of the
+one before it and of the first, so that every shared line leads to a document that holds it,
+and pairs grow with the lines and not with the square of a line's holders. A pair is aligned by patience
+diff over line hashes: lines that occur once on either side, in longest increasing order, split both
+documents, and equal lines at the borders of the gaps join in. Lines aligned with any partner are
+deleted from the later document.
 
 Nulls and edge cases: a null text is empty and has one empty line; empty lines lead nowhere but are
 deleted inside aligned blocks; a null doc_id is earlier than every other; rows that repeat doc_id are
@@ -21,14 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlake.llm import common as C
 from merchlake.llm import words as W
 
-# Limits nothing any more; tests/llm/test_brute_force.py::test_op3 reads it.
-RARE = 16
+# Holders of a line that are all compared with each other.
+RARE = 8
+# Frequent lines: holders whose ids agree above these bits are ordered together.
+_RANGE_BITS = 10
 # Hash of an empty line; no other line gets it.
 EMPTY = 0
 _NEWLINE = np.arange(256) == 0x0A
@@ -62,19 +64,32 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return C.texts(docs).mapInArrow(read, "_k long, _lines array<long>")
 
 
-def partners(lines: DataFrame) -> DataFrame:
+def partners(lines: DataFrame, rare: int = RARE) -> DataFrame:
     """Pairs of a document (_k) and an earlier one (_hub) to align it with."""
-    held = lines.select("_k", F.explode(F.array_distinct("_lines")).alias("_h")).where(F.col("_h") != EMPTY)
-    first = (
+    held = lines.select("_k", F.explode(F.array_distinct("_lines")).alias("_h")).where(F.col("_h") != EMPTY).distinct()
+    counted = (
         held.groupBy("_h")
-        .agg(F.min("_k").alias("_hub"), F.count(F.lit(1)).alias("_holders"))
+        .agg(F.min("_k").alias("_first"), F.count(F.lit(1)).alias("_holders"))
         .where("_holders > 1")
-        .select("_h", "_hub")
         # So that the join can split a line that very many documents hold.
         .checkpoint()
     )
-    # At most one pair per distinct line of a document.
-    return held.join(first, "_h").where("_hub < _k").select("_k", "_hub").distinct()
+    shared = C.stored(held.join(counted, "_h"), "shared")
+    # At most ``rare`` holders.
+    few = shared.where(F.col("_holders") <= rare).groupBy("_h").agg(F.collect_list("_k").alias("_all"))
+    each = few.select("_all", F.explode("_all").alias("_k")).select("_k", F.explode("_all").alias("_hub"))
+    # The holder before: inside a range of ids, or the last one of the range before. A range holds
+    # 2^_RANGE_BITS ids at most, and a row per range is ordered by line.
+    many = shared.where(F.col("_holders") > rare).withColumn("_range", F.shiftright("_k", _RANGE_BITS))
+    inside = Window.partitionBy("_h", "_range").orderBy("_k")
+    ranges = many.groupBy("_h", "_range").agg(F.max("_k").alias("_last"))
+    before = ranges.withColumn("_last", F.lag("_last").over(Window.partitionBy("_h").orderBy("_range"))).checkpoint()
+    linked = many.withColumn("_near", F.lag("_k").over(inside))
+    linked = linked.where("_near IS NOT NULL").select("_k", "_first", "_near").unionByName(
+        linked.where("_near IS NULL").join(before, ["_h", "_range"]).select("_k", "_first", F.col("_last").alias("_near"))
+    )
+    chained = linked.select("_k", F.explode(F.array("_first", "_near")).alias("_hub"))
+    return each.unionByName(chained).where("_hub < _k").distinct()
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:

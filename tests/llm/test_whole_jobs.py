@@ -3,27 +3,21 @@
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 
 import numpy as np
 import pytest
-from test_brute_force import removed_bytes, removed_words
+from test_brute_force import partners_of, removed_bytes, removed_words, without_aligned
 
 from merchlake.llm import common, decontaminate, line_dedup, repeats, suffix_dedup, superkmer
 
 
-def all_first_holders(texts):
-    """Documents aligned with the first holders of all their lines."""
-    lines = {k: t.split("\n") for k, t in texts.items()}
-    first = {}
-    for key in sorted(lines):
-        for line in set(lines[key]) - {""}:
-            first.setdefault(line, key)
-    out = {}
-    for key, own in lines.items():
-        hubs = {first[line] for line in set(own) - {""}} - {key}
-        gone = {b for h in hubs for _, b in line_dedup.patience(lines[h], own)}
-        out[key] = len(gone), len(hubs), "\n".join(line for at, line in enumerate(own) if at not in gone)
-    return out
+def test_blocks_whose_lines_occur_earlier_elsewhere(spark):
+    """A block that two documents share goes whole, though its single lines occur in others."""
+    texts = {1: "p\nzz", 2: "q\nyy\nq", 3: "r\nvv", 4: "a4\np\nq\nr\nq\np\nb4", 5: "a5\np\nq\nr\nq\np\nb5"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in line_dedup.remove_aligned(frame).collect()}
+    assert kept[5] == "a5\nb5"
 
 
 def test_frequent_lines_beside_rare_ones(spark):
@@ -33,9 +27,11 @@ def test_frequent_lines_beside_rare_ones(spark):
     texts |= {100 + k: f"pair {k}\nnew {k}\n{passage}end {k}" for k in range(5)}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     rows = line_dedup.remove_aligned(frame).collect()
-    found = {r.doc_id: (r.n_removed, r.n_partners, r.kept) for r in rows}
-    assert found == all_first_holders(texts)
-    assert not [k for k in found if k and "shared by all" in found[k][2]]
+    found = {r.doc_id: (r.n_lines, r.n_removed, r.n_partners, hashlib.sha256(r.kept.encode()).hexdigest()) for r in rows}
+    lines = {k: t.split("\n") for k, t in texts.items()}
+    assert found == without_aligned(lines, partners_of(lines))
+    kept = {r.doc_id: r.kept for r in rows}
+    assert not [k for k in kept if k and "shared by all" in kept[k]]
 
 
 def test_passage_in_many_surroundings(spark, monkeypatch):
@@ -84,3 +80,40 @@ def test_components_out_of_rounds(spark):
     with pytest.raises(RuntimeError):
         common.components(edges, rounds=1)
     assert {r._root for r in common.components(edges).collect()} == {0}
+
+
+def test_a_stored_slot_map_is_edited(spark, tmp_path):
+    from merchlake.llm import sharding
+
+    docs = spark.createDataFrame([(i, "x" * (i * 37 % 101)) for i in range(50)], "doc_id long, text string")
+    path = str(tmp_path / "map")
+    for run in (1, 2, 3):
+        rows = sharding.shard(docs, 4, 64, path).collect()
+        assert len(rows) == 50 and {r.map_version for r in rows} == {run}
+    before = {r.doc_id: r.shard for r in rows}
+    more = docs.unionByName(spark.createDataFrame([(100, "y" * 4000)], docs.schema))
+    after = {r.doc_id: r.shard for r in sharding.shard(more, 4, 64, path).collect()}
+    assert len(after) == 51 and sum(after[k] != before[k] for k in before) < 40
+    assert {r.shard for r in sharding.shard(more, 5, 64, path).collect()} == set(range(5))
+    with pytest.raises(ValueError):
+        sharding.shard(more, 4, 64, path)
+    with pytest.raises(ValueError):
+        sharding.shard(more, 5, 32, path)
+
+
+def test_very_long_chat_text(spark):
+    from pyspark.sql import functions as F
+
+    from merchlake.llm import chat
+
+    rows = spark.range(2).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.repeat(F.lit("abcd [INST] "), F.lit(1_800_000)).alias("text"), F.lit("x").alias("layout"),
+    )
+    row = chat.digests(rows).first()
+    assert (row.n_turns, row.loss_chars) == (2, 12 * 1_800_000)
+    record = spark.range(1).select(
+        F.lit(2).cast("long").alias("conv_id"),
+        F.to_json(F.struct(F.lit("hi").alias("prompt"), F.repeat(F.lit("z"), F.lit(21_000_000)).alias("completion"))).alias(chat.RECORD),
+    )
+    assert chat.digests(rows.limit(0), record).first().loss_chars == 21_000_000
