@@ -2,8 +2,10 @@
 
 A record's hash names one of a fixed number of slots. Bytes are added up per slot, and a small
 versioned table maps slots to shards. Version 0 deals the slots round; rebalancing edits the map
-by moving or swapping single slots, and adding a shard moves slots to the new one only. Only the
-map, one row per slot, ever reaches the driver; records follow it by a join with that table.
+by moving or swapping single slots, and adding a shard moves slots to the new one only. A run that
+finds a stored map edits its latest version and appends the next; it deals anew only where none is
+stored. Only the map, one row per slot, ever reaches the driver; records follow it by a join with
+that table.
 
 Nulls and edge cases: a null text has size 1 and checksum 0; records with a null doc_id are hashed
 by their checksum; equal rows share a slot; an empty table gives an empty result and the map of
@@ -22,8 +24,7 @@ from merchlake.llm import common as C
 from merchlake.session import scratch_path
 
 SLOTS = 4096
-# Edits of one rebalancing at most; each moves or swaps one slot.
-MOST_EDITS = 20_000
+_STORED = "version int, slot int, shard int"
 
 
 @dataclass
@@ -47,8 +48,11 @@ class SlotMap:
         neither brings them closer."""
         owner, moved = self.owner.copy(), []
         loads = self.loads(sizes)
-        for _ in range(MOST_EDITS):
-            full, low = int(np.argmax(loads)), int(np.argmin(loads))
+        # Shards whose slots are too large to give one away; the others still even out. Every edit
+        # brings two loads of whole bytes closer, so this ends.
+        stuck = np.zeros(self.shards, bool)
+        while not stuck.all():
+            full, low = int(np.argmax(np.where(stuck, -1, loads))), int(np.argmin(loads))
             gap = loads[full] - loads[low]
             give = np.flatnonzero((owner == full) & (sizes > 0))
             take = np.flatnonzero(owner == low)
@@ -66,7 +70,8 @@ class SlotMap:
                 if miss[at] < best:
                     best, change = miss[at], (int(give[at]), float(other[at]))
             if change is None or not 0 < sizes[change[0]] - change[1] < gap:
-                break
+                stuck[full] = True
+                continue
             slot, back = change
             owner[slot] = low
             moved.append(slot)
@@ -86,10 +91,14 @@ class SlotMap:
         share, got, moved = sizes.sum() / (self.shards + 1), 0.0, []
         order = np.argsort(-sizes, kind="stable")
         while got < share:
-            full = int(np.argmax(loads))
-            fits = [s for s in order if owner[s] == full and 0 < sizes[s] <= share - got]
+            # The fullest shard that has a slot to give.
+            by_load = np.argsort(-loads, kind="stable")
+            fits = next(
+                (f for full in by_load if (f := [s for s in order if owner[s] == full and 0 < sizes[s] <= share - got])), []
+            )
             if not fits:
                 break
+            full = int(owner[fits[0]])
             owner[fits[0]] = self.shards
             loads[full] -= sizes[fits[0]]
             got += sizes[fits[0]]
@@ -99,13 +108,36 @@ class SlotMap:
     def save(self, spark: SparkSession, path: str) -> None:
         """Append this version to the stored map."""
         rows = [(self.version, slot, int(shard)) for slot, shard in enumerate(self.owner)]
-        frame = spark.createDataFrame(rows, "version int, slot int, shard int")
+        frame = spark.createDataFrame(rows, _STORED)
         frame.coalesce(1).write.mode("append").parquet(path)
 
 
+    @classmethod
+    def stored(cls, spark: SparkSession, path: str) -> SlotMap | None:
+        """The latest version kept at ``path``, if there is one."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return None
+        # One row per slot.
+        rows = latest(spark, path).orderBy("slot").collect()
+        if not rows:
+            return None
+        owner = np.array([row["shard"] for row in rows])
+        return cls(int(owner.max()) + 1, owner, rows[0]["version"])
+
+    def fitted(self, shards: int, slots: int, sizes: np.ndarray) -> SlotMap:
+        """The map grown to ``shards``. Slots are fixed for good, and shards are only added."""
+        if len(self.owner) != slots or self.shards > shards:
+            raise ValueError(f"the stored map has {len(self.owner)} slots and {self.shards} shards")
+        found = self
+        while found.shards < shards:
+            found = found.grown(sizes)
+        return found
+
+
 def latest(spark: SparkSession, path: str) -> DataFrame:
     """The last stored version: version, slot, shard."""
-    stored = spark.read.schema("version int, slot int, shard int").parquet(path)
+    stored = spark.read.schema(_STORED).parquet(path)
     return stored.where(F.col("version") == stored.agg(F.max("version")).scalar())
 
 
@@ -131,10 +163,14 @@ def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, map_path: str |
     for row in tally:
         sizes[row["_slot"]], counts[row["_slot"]] = row["bytes"], row["rows"]
     path = map_path or scratch_path(spark, "slot-map")
-    dealt = SlotMap.dealt(shards, slots)
-    dealt.save(spark, path)
+    found = SlotMap.stored(spark, path)
+    if found is None:
+        found = SlotMap.dealt(shards, slots)
+        found.save(spark, path)
     if tally:
-        dealt.rebalanced(sizes).save(spark, path)
+        edited = found.fitted(shards, slots, sizes).rebalanced(sizes)
+        edited.version = found.version + 1
+        edited.save(spark, path)
     current = latest(spark, path)
     tallied = spark.createDataFrame([(s, int(n)) for s, n in enumerate(counts)], "_slot int, _rows long")
     # Places in a shard: its slots one after another, each slot's records by id. One row per slot.
