@@ -56,7 +56,11 @@ class Cover:
     def rows(self, day: str | None) -> Column:
         if self.everything or day is None:
             return F.lit(self.everything)
-        parts = [f"{day} BETWEEN DATE'{first}' AND DATE'{last}'" for first, last in self.ranges]
+        parts = [f"{day} BETWEEN DATE'{first}' AND DATE'{last}'" for first, last in self.ranges if first != last]
+        # Single days as one set, which stays a short expression however many there are.
+        single = [f"DATE'{first}'" for first, last in self.ranges if first == last]
+        if single:
+            parts.append(f"{day} IN ({', '.join(single)})")
         if self.loose:
             parts.append(f"{day} IS NULL")
         return F.expr(f"coalesce({' OR '.join(parts)}, false)") if parts else F.lit(False)
