@@ -2,8 +2,9 @@
 
 A window of 20 words picks its minimiser, the ten words with the smallest hash; consecutive windows
 with the same minimiser form a super-k-mer, which travels as one packed string to the minimiser's
-bucket (see ``repeats``). There its windows are sorted by content, document and place; every window
-but the first of its kind starts earlier elsewhere, and the words it covers are removed.
+bucket (see ``repeats``). There its windows are numbered by content, word by word and then by pairs of
+shorter stretches, and sorted by number, document and place; every window but the first of its kind
+starts earlier elsewhere, and the words it covers are removed.
 
 Nulls and edge cases: a null text has no words; a text under 20 words loses nothing; documents are
 ordered by doc_id with null first; rows that repeat doc_id are one document, and its spans apply to
@@ -13,7 +14,7 @@ each of the rows; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -22,24 +23,38 @@ from pyspark.sql import functions as F
 
 from merchlake.llm import common as C
 from merchlake.llm import repeats as R
-from merchlake.llm import words as W
 
 LENGTH = 20
 MINIMISER = 10
 WINDOWS = R.Windows(R.parse_words, LENGTH, MINIMISER, block=4)
 
 
+def window_ranks(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the windows that start at each word of all texts, equal for equal words only, and
+    per text the number of words before it. Windows that leave their text have a number as well."""
+    # bytes.split parts at exactly the separators of a word.
+    texts = [data[a:b].tobytes().split() for a, b in zip(offsets, offsets[1:])]
+    places = np.cumsum([0, *[len(words) for words in texts]])
+    ranks = pa.array(chain.from_iterable(texts), pa.binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+    have = 1
+    while have < length and len(ranks):
+        step = min(have, length - have)
+        pairs = ranks[: max(len(ranks) - step, 0)] * len(ranks) + ranks[step:]
+        ranks = np.unique(pairs, return_inverse=True)[1]
+        have += step
+    return ranks, places
+
+
 def _later(length: int):
     def judge(pool: R.Pool) -> tuple[np.ndarray, np.ndarray]:
-        hashes, _, _, places = W.word_hashes(pool.data, pool.offsets)
-        grams = W.gram_hash(W.prefix_sums(hashes), length)
+        ranks, places = window_ranks(pool.data, pool.offsets, length)
         owner = np.repeat(np.arange(len(places) - 1), np.diff(places))
-        at = np.flatnonzero(owner[: len(grams)] == owner[length - 1 :]) if len(grams) else np.empty(0, np.int64)
+        at = np.flatnonzero(owner[: len(ranks)] == owner[length - 1 :]) if len(ranks) else np.empty(0, np.int64)
         stretch = owner[at]
         window = at - places[stretch]
-        place, doc, route, gram = pool.place[stretch] + window, pool.doc[stretch], pool.route[stretch], grams[at]
-        order = np.lexsort((place, doc, gram, route))
-        same = (gram[order][1:] == gram[order][:-1]) & (route[order][1:] == route[order][:-1])
+        place, doc, rank = pool.place[stretch] + window, pool.doc[stretch], ranks[at]
+        order = np.lexsort((place, doc, rank))
+        same = rank[order][1:] == rank[order][:-1]
         # The place of each row's first equal.
         first = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(order)), 0)) if len(order) else order
         head = order[first]
