@@ -1,24 +1,26 @@
 """Near duplicates by b-bit MinHash.
 
-A document is the set of its word shingles. Each set gets 208 minima. Bands of five full minima name
+A document is the set of its word shingles; rows are told apart by doc_id and text, so a repeated id
+with another text is another document. Each set gets 208 minima. Bands of five full minima name
 candidate buckets; of every minimum only four bits are kept, packed sixteen to a long, and the share
 of equal bits, corrected for chance collisions, estimates the similarity of candidates. Candidates
 that may reach the threshold are confirmed on their full sets, and linked documents form components.
 
-No bucket's pairs are listed in full. Documents with equal sets are one class, the smallest doc_id
-stands for it. In each bucket every class first meets the bucket's smallest class only, and pairs
-whose estimate allows it are confirmed. Pairs inside a component need no look. Buckets that still
-hold several components are then searched across components, so that no link is lost: block against
-block, each pair of blocks in a group of its own, first by signatures for the classes that may have
-a link left, then these on their full sets. Only links are handed on, never pairs.
+No bucket's pairs are listed in full. Documents with equal sets are one class, a numbered node. In
+each bucket every class first meets the bucket's first class only, and pairs whose estimate allows it
+are confirmed. Pairs inside a component need no look. Buckets that still hold several components are
+then searched across components, so that no link is lost: block against block, each pair of blocks in
+a group of its own, first by signatures for the classes that may have a link left, then these on their
+full sets. Only links are handed on, never pairs. The smallest doc_id of all its classes stands for a
+component.
 
 Chances of losing a link of similarity 0.8: below 2e-7 in the bands (1 - 0.8^5)^40, and 4e-6 in the
 estimate (4.5 standard deviations); both fall fast above 0.8.
 
 Nulls and edge cases: a null or empty text, or one without words, has an empty set, which is linked
 with nothing; a text with fewer words than a shingle has one shingle, its whole sequence; a null
-doc_id is smaller than every other, and rows that share a doc_id are one node; an empty table gives
-an empty result.
+doc_id is smaller than every other; rows that repeat a doc_id with another text are linked, kept and
+dropped on their own, rows that repeat both are one document; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -111,8 +113,14 @@ def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray,
     return found, where, distinct
 
 
+def _named_texts(docs: DataFrame) -> DataFrame:
+    """``_k``, ``_text`` and a hash of the text (_h), which tells apart rows that repeat an id."""
+    return C.texts(docs).withColumn("_h", F.xxhash64("_text"))
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """Per document: _k, _n (set size), _digest of the set, packed signature, _bands."""
+    """Per document: _k, _h (hash of the text), _n (set size), _digest of the set, packed signature,
+    _bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,20 +135,24 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_k").slice(first, last - first),
+                        batch.column("_h").slice(first, last - first),
                         pa.array([len(s) for s in distinct], pa.int64()),
                         pa.array(digests, pa.binary()),
                         *[pa.array(np.ascontiguousarray(low[:, i])) for i in range(LONGS)],
                         lists,
                     ],
-                    names=["_k", "_n", "_digest", *SIGNATURE, "_bands"],
+                    names=["_k", "_h", "_n", "_digest", *SIGNATURE, "_bands"],
                 )
 
     longs = ", ".join(f"{name} long" for name in SIGNATURE)
-    return C.texts(docs).mapInArrow(sign, f"_k long, _n long, _digest binary, {longs}, _bands array<long>")
+    return _named_texts(docs).mapInArrow(
+        sign, f"_k long, _h long, _n long, _digest binary, {longs}, _bands array<long>"
+    )
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """The full sets (_set) of the documents named by ``nodes`` (_c)."""
+    """The full sets (_set) of the nodes (_c) that the documents _k, _h stand for; a document that
+    is repeated gives its set each time."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,16 +162,27 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 values = np.concatenate(distinct).view(np.int64) if len(distinct) else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("_k").slice(first, last - first),
+                        batch.column("_c").slice(first, last - first),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
                     ],
                     names=["_c", "_set"],
                 )
 
-    wanted = C.texts(docs).join(nodes.withColumnRenamed("_c", "_k"), "_k", "left_semi")
+    wanted = _named_texts(docs).join(nodes, ["_k", "_h"])
     return wanted.mapInArrow(collect, "_c long, _set array<long>")
 
 
+def _sets_once(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """One full set per node, also where rows repeat both id and text."""
+    times = signed.where("_n > 0").groupBy("_k", "_h").agg(F.count(F.lit(1)).alias("_times"))
+    repeated = nodes.join(times.where("_times > 1"), ["_k", "_h"], "left_semi").checkpoint()
+    if repeated.isEmpty():
+        return shingle_sets(docs, nodes, size)
+    single = shingle_sets(docs, nodes.join(repeated, "_c", "left_anti"), size)
+    # Equal sets fold to one in every task before they move.
+    return single.unionByName(shingle_sets(docs, repeated, size).groupBy("_c").agg(F.first("_set").alias("_set")))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (_a, _b) whose full sets reach the threshold."""
     both = pairs.join(sets.select(F.col("_c").alias("_a"), F.col("_set").alias("_sa")), "_a").join(
@@ -260,20 +283,23 @@ def _links_across(percent: int) -> Callable[[pa.Table], pa.Table]:
     return find
 
 
-def node_components(docs: DataFrame, size: int, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Signatures of all documents with their class (_c), and components of classes
-    (_node, _root)."""
+def node_components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
+    """Per document: _k, _h, _n, and the document that stands for its component, _top_k and _top_h
+    (null for empty sets)."""
     C.prepare(docs.sparkSession)
     signed = C.stored(signatures(docs, size), "signatures")
     classes = C.stored(
         signed.where("_n > 0")
         .groupBy("_digest")
         .agg(
-            F.min("_k").alias("_c"),
+            F.min(F.struct("_k", "_h")).alias("_least"),
             F.first("_n").alias("_n"),
             *[F.first(name).alias(name) for name in SIGNATURE],
             F.first("_bands").alias("_bands"),
-        ),
+        )
+        # Written once, so the numbers stay as they are.
+        .select("*", "_least.*", F.monotonically_increasing_id().alias("_c"))
+        .drop("_least"),
         "classes",
     )
     banded = classes.select("_c", F.explode("_bands").alias("_band"))
@@ -295,7 +321,8 @@ def node_components(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
         .join(marks.alias("r"), (F.col("_b") == F.col("r._c")) & sized)
         .select("_a", "_b")
     )
-    sets = C.stored(shingle_sets(docs, members.select("_c").distinct(), size), "sets")
+    met = classes.select("_c", "_k", "_h").join(members.select("_c").distinct(), "_c", "left_semi")
+    sets = C.stored(_sets_once(docs, signed, met, size), "sets")
 
     # At most one pair per class and band.
     links = confirmed(scored, sets, percent).checkpoint()
@@ -311,30 +338,44 @@ def node_components(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
     ).checkpoint()
     # The links are checkpointed, so nothing reads the sets again.
     C.discard(sets)
-    found = C.components(links).checkpoint()
-    owned = signed.select("_k", "_n", "_digest").join(classes.select("_digest", "_c"), "_digest", "left")
-    return owned, found
+    return _with_tops(signed, classes, C.components(links).checkpoint())
+
+
+def _with_tops(signed: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Documents with the smallest document of their component."""
+    # Roots have no row of their own among the links.
+    roots = found.select(F.col("_root").alias("_node"), "_root").distinct()
+    linked = found.unionByName(roots).withColumnRenamed("_node", "_c").join(classes.select("_c", "_k", "_h"), "_c")
+    # Checkpointed, so that joins can split a component or class that very many rows are in.
+    tops = linked.groupBy("_root").agg(F.min(F.struct("_k", "_h")).alias("_top")).checkpoint()
+    tops = linked.select("_c", "_root").join(tops, "_root").select("_c", "_top")
+    own = F.struct("_k", "_h")
+    named = classes.select("_digest", "_c", "_k", "_h").join(tops, "_c", "left")
+    named = named.select("_digest", F.coalesce("_top", own).alias("_top")).checkpoint()
+    return (
+        signed.select("_k", "_h", "_n", "_digest")
+        .join(named, "_digest", "left")
+        .select("_k", "_h", "_n", F.col("_top._k").alias("_top_k"), F.col("_top._h").alias("_top_h"))
+    )
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links lead
     to), kept."""
-    owned, found = node_components(docs, size, percent)
-    root = F.coalesce("_root", "_c", "_k")
-    return _labelled(owned.withColumn("_c", F.coalesce("_c", "_k")), found, "_c", "_root").select(
+    top = F.coalesce("_top_k", "_k")
+    return node_components(docs, size, percent).select(
         C.document_id().alias("doc_id"),
         F.col("_n").alias("n_shingles"),
-        F.when(root != F.lit(C.NULL_ID), root).alias("component_id"),
-        (F.col("_k") == root).alias("kept"),
+        F.when(top != F.lit(C.NULL_ID), top).alias("component_id"),
+        (F.col("_k") == top).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with the smallest doc_id of each component only, all columns kept. Rows that
+    """One document of each component, that with the smallest doc_id, all columns kept. Rows that
     repeat doc_id and text are one document."""
-    owned, found = node_components(docs, size, percent)
-    labelled = _labelled(owned.withColumn("_c", F.coalesce("_c", "_k")), found, "_c", "_root")
-    keep = labelled.where("_k = _root").select("_k").distinct()
+    is_top = "_top_k IS NULL OR (_k = _top_k AND _h = _top_h)"
+    keep = node_components(docs, size, percent).where(is_top).select("_k", "_h").distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
         "_row",
         F.coalesce(F.col("_row.doc_id").cast("bigint"), F.lit(C.NULL_ID)).alias("_k"),
@@ -342,7 +383,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     )
     once = Window.partitionBy("_k", "_h").orderBy("_k")
     return (
-        rows.join(keep, "_k", "left_semi")
+        rows.join(keep, ["_k", "_h"], "left_semi")
         .withColumn("_copy", F.row_number().over(once))
         .where("_copy = 1")
         .select("_row.*")
