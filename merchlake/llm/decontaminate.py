@@ -6,9 +6,11 @@ words that are not yet marked in either text, these are marked, and the search l
 no stretch of five words is left. Tiles may stand in any order, so reordered passages count as
 well. A document is contaminated if tiles cover at least half of an item's words.
 
-The benchmark is a stated query set: it is read in blocks of bounded size, and every block is held
-by each task while whole documents stream past. No document is shuffled, and nothing is emitted per
-shared seed, so a passage that a third of all documents hold costs no more than others.
+The benchmark is a stated query set: it is read in blocks of bounded size, and a task holds one block
+while whole documents stream past. A benchmark of several blocks takes a pass over the documents for
+each; what a pass finds is stored by text and merged. No document is shuffled to be judged, and
+nothing is emitted per shared seed, so a passage that a third of all documents hold costs no more than
+others.
 
 Nulls and edge cases: null and empty texts are clean; items without words are left out; an item with
 fewer than five words counts when its whole sequence occurs; ties between items go to the smaller
@@ -17,6 +19,8 @@ item_id; repeated rows get equal answers; an empty benchmark leaves all document
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,6 +33,8 @@ SEED_WORDS = 5
 COVERAGE = 0.5
 # Bytes of benchmark text that a task holds at a time.
 BLOCK_BYTES = 16 << 20
+# Pairs of equal places that one step of the tiling looks at.
+PAIRS = 1 << 20
 FOUND = "coverage double, item_id bigint, matched_items int"
 
 
@@ -39,36 +45,42 @@ def _free(marked: np.ndarray, size: int) -> np.ndarray:
     return seen[size:] == seen[: len(seen) - size]
 
 
-def _common(text: np.ndarray, item: np.ndarray, size: int, in_text: np.ndarray, in_item: np.ndarray) -> list:
-    """Unmarked equal stretches of at least ``size`` words, each as long as it gets: (length, place
-    in the item, place in the text)."""
+def _common(
+    text: np.ndarray, item: np.ndarray, size: int, in_text: np.ndarray, in_item: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unmarked equal stretches of at least ``size`` words, each as long as it gets: lengths, places
+    in the item, places in the text."""
+    nothing = np.empty(0, np.int64)
     if min(len(text), len(item)) < size:
-        return []
+        return nothing, nothing, nothing
     there, here = W.gram_hash(W.prefix_sums(text), size), W.gram_hash(W.prefix_sums(item), size)
-    there_at = np.flatnonzero(_free(in_text, size))
-    here_at = np.flatnonzero(_free(in_item, size))
+    there_at, here_at = np.flatnonzero(_free(in_text, size)), np.flatnonzero(_free(in_item, size))
     there_at = there_at[np.isin(there[there_at], here[here_at])]
-    places: dict[int, list[int]] = {}
-    for at in here_at.tolist():
-        places.setdefault(int(here[at]), []).append(at)
-    found, reach = [], {}
-    for t in there_at.tolist():
-        for i in places[int(there[t])]:
-            # A stretch that only continues one found before is part of it.
-            if reach.get(t - i, -1) >= t + size:
-                continue
-            length = size
-            while (
-                t + length < len(text)
-                and i + length < len(item)
-                and text[t + length] == item[i + length]
-                and not in_text[t + length]
-                and not in_item[i + length]
-            ):
-                length += 1
-            reach[t - i] = t + length
-            found.append((length, i, t))
-    return found
+    here_at = here_at[np.isin(here[here_at], there[there_at])]
+    if not len(there_at):
+        return nothing, nothing, nothing
+    names, row = np.unique(here[here_at]), len(text) + 1
+    held = np.sort(np.searchsorted(names, there[there_at]) * row + there_at)
+    wanted = np.searchsorted(names, here[here_at]) * row
+    found = []
+    # Equal places lie on diagonals (place in the text less place in the item); a bounded number of
+    # pairs is looked at together. Neighbours on a diagonal are one stretch.
+    width = max(1, PAIRS // len(here_at))
+    for low in range(-int(here_at[-1]), int(there_at[-1]) + 1, width):
+        first = np.searchsorted(held, wanted + np.clip(here_at + low, 0, len(text)))
+        count = np.searchsorted(held, wanted + np.clip(here_at + low + width, 0, len(text))) - first
+        total = int(count.sum())
+        if not total:
+            continue
+        step = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
+        t = held[np.repeat(first, count) + step] % row
+        diagonal = t - np.repeat(here_at, count)
+        order = np.lexsort((t, diagonal))
+        t, diagonal = t[order], diagonal[order]
+        head = np.flatnonzero(np.r_[True, (diagonal[1:] != diagonal[:-1]) | (t[1:] != t[:-1] + 1)])
+        lengths = np.diff(np.r_[head, total]) + size - 1
+        found.append((lengths, t[head] - diagonal[head], t[head]))
+    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
 
 
 def tiles(text: np.ndarray, item: np.ndarray, least: int = SEED_WORDS) -> list[tuple[int, int, int]]:
@@ -77,17 +89,20 @@ def tiles(text: np.ndarray, item: np.ndarray, least: int = SEED_WORDS) -> list[t
     in_text, in_item = np.zeros(len(text), bool), np.zeros(len(item), bool)
     done, size = [], max(least, min(len(item), 32))
     while True:
-        found = _common(text, item, size, in_text, in_item)
-        longest = max((length for length, _, _ in found), default=0)
+        lengths, places, others = _common(text, item, size, in_text, in_item)
+        longest = int(lengths.max(initial=0))
         if longest > 2 * size:
             size = longest
             continue
-        for length, i, t in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            if not in_text[t : t + length].any() and not in_item[i : i + length].any():
+        order = np.lexsort((others, places, -lengths))
+        for length, i, t in zip(lengths[order].tolist(), places[order].tolist(), others[order].tolist(), strict=True):
+            if not in_item[i : i + length].any() and not in_text[t : t + length].any():
                 in_text[t : t + length] = in_item[i : i + length] = True
                 done.append((length, i, t))
+                if in_item.all():
+                    return done
         # What a longer tile cut short is looked for again before the search length falls.
-        if found and any(length >= size for length, _, _ in _common(text, item, size, in_text, in_item)):
+        if len(lengths) and len(_common(text, item, size, in_text, in_item)[0]):
             continue
         if size == least:
             return done
@@ -166,18 +181,23 @@ class Block:
         return found
 
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Block]:
-    """The benchmark in blocks of about ``block_bytes``; equal ids stay together."""
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
+def block_count(benchmark: DataFrame, block_bytes: int) -> int:
+    """In how many blocks of about ``block_bytes`` the benchmark is read."""
+    size = _items(benchmark).agg(F.sum(F.octet_length("_text"))).first()[0]
+    return 0 if size is None else max(1, -(-size // block_bytes))
+
+
+def read_block(benchmark: DataFrame, number: int, count: int) -> Block:
+    """A block of the benchmark; equal ids stay together."""
+    mine = _items(benchmark).where(F.pmod(F.xxhash64("_i"), F.lit(count)) == number)
+    rows = mine.orderBy("_i", "_text").collect()
+    return Block([r["_i"] for r in rows], [r["_text"] for r in rows])
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("item_id").cast("bigint").alias("_i"), F.col("text").cast("string").alias("_text")
     )
-    size = items.agg(F.sum(F.octet_length("_text"))).first()[0]
-    parts = 0 if size is None else max(1, -(-size // block_bytes))
-    found = []
-    for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("_i"), F.lit(parts)) == part).orderBy("_i", "_text").collect()
-        found.append(Block([r["_i"] for r in rows], [r["_text"] for r in rows]))
-    return found
 
 
 def matcher(block: Block, coverage: float) -> Column:
@@ -199,34 +219,62 @@ def matcher(block: Block, coverage: float) -> Column:
     return match
 
 
-def judged(docs: DataFrame, benchmark: DataFrame, name: str, coverage: float = COVERAGE) -> DataFrame:
-    """The documents with a struct column ``name``: coverage, item_id, matched_items."""
+def _found(match: Column) -> Column:
+    """A match in an order of its own: the larger, the better covered, then the smaller item."""
+    return F.struct(match["coverage"].alias("c"), (-match["item_id"]).alias("i"), match["matched_items"].alias("n"))
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, count: int, coverage: float) -> DataFrame:
+    """Texts (_sha) that an item covers, with their match (_match): one pass over the documents per
+    block, so that the driver and each task hold one block at a time."""
+    texts = docs.select(F.col("text").cast("string").alias("_text"))
+    passes = []
+    for number in range(count):
+        match = matcher(read_block(benchmark, number, count), coverage)
+        hit = texts.withColumn("_m", match(F.col("_text"))).where("_m.item_id IS NOT NULL")
+        # Copies of a text have one answer.
+        hit = hit.select(F.sha2("_text", 256).alias("_sha"), _found(F.col("_m")).alias("_one"))
+        passes.append(C.stored(hit.groupBy("_sha").agg(F.max("_one").alias("_one")), "hits"))
+    hits = reduce(DataFrame.unionByName, passes)
+    best = F.max(F.struct("_one.c", "_one.i")).alias("_best")
+    merged = hits.groupBy("_sha").agg(best, F.sum("_one.n").cast("int").alias("_n"))
+    # Checkpointed, so that the join can split a text that very many documents share.
+    return merged.select(
+        "_sha", F.struct("_best.c", "_best.i", F.col("_n").alias("n")).alias("_match")
+    ).checkpoint()
+
+
+def judged(
+    docs: DataFrame, benchmark: DataFrame, name: str, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The documents with a struct column ``name``: coverage (c), minus item_id (i) and number of
+    covered items (n)."""
     C.prepare(docs.sparkSession)
     nothing = F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("bigint").alias("i"), F.lit(0).alias("n"))
-    found, parts = docs.withColumn(name, nothing), []
-    for number, block in enumerate(blocks(benchmark)):
-        part = f"{name}_{number}"
-        found = found.withColumn(part, matcher(block, coverage)(F.col("text").cast("string")))
-        parts.append(part)
-        mine = F.struct(
-            F.col(f"{part}.coverage").alias("c"),
-            (-F.col(f"{part}.item_id")).alias("i"),
-            F.col(f"{part}.matched_items").alias("n"),
-        )
-        so_far = F.col(name)
-        better = F.when(mine["c"] > so_far["c"], mine).when(
-            (mine["c"] == so_far["c"]) & (mine["i"] > so_far["i"]), mine
-        ).otherwise(so_far)
-        merged = F.struct(better["c"].alias("c"), better["i"].alias("i"), (mine["n"] + so_far["n"]).alias("n"))
-        found = found.withColumn(name, merged).drop(part)
-    return found
+    count = block_count(benchmark, block_bytes)
+    if not count:
+        return docs.withColumn(name, nothing)
+    if count == 1:
+        part = C.fresh_name("part")
+        match = matcher(read_block(benchmark, 0, 1), coverage)(F.col("text").cast("string"))
+        return docs.withColumn(part, match).withColumn(name, _found(F.col(part))).drop(part)
+    key, held = C.fresh_name("sha"), C.fresh_name("held")
+    hits = _hits(docs, benchmark, count, coverage).select(F.col("_sha").alias(key), F.col("_match").alias(held))
+    return (
+        docs.withColumn(key, F.sha2(F.col("text").cast("string"), 256))
+        .join(hits, key, "left")
+        .withColumn(name, F.coalesce(held, nothing))
+        .select(*[F.col(f"`{c}`") for c in docs.columns], name)
+    )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """One row per document: doc_id, contaminated, coverage and item_id of the best covered item,
     matched_items."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return judged(rows, benchmark, "_match", coverage).select(
+    return judged(rows, benchmark, "_match", coverage, block_bytes).select(
         "doc_id",
         (F.col("_match.c") >= coverage).alias("contaminated"),
         F.col("_match.c").alias("coverage"),
@@ -235,7 +283,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     )
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The documents that no benchmark item is covered by, all columns kept."""
     name = C.fresh_name("match")
-    return judged(docs, benchmark, name, coverage).where(F.col(f"{name}.c") < coverage).drop(name)
+    return judged(docs, benchmark, name, coverage, block_bytes).where(F.col(f"{name}.c") < coverage).drop(name)
