@@ -31,6 +31,8 @@ QUOTIENT_BITS = 8
 REMAINDER_BYTES = 6
 # Fingerprints that a task holds before it hands on a filter.
 FILTER_ROWS = 1 << 20
+# Copies of one row that are numbered in one list.
+COPIES_LISTED = 1 << 16
 
 
 def segment_bits(partitions: int) -> int:
@@ -148,9 +150,13 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
     keep = F.coalesce("_keep", "_k")
+    # Numbered in two steps, so that no row holds a list of all its copies.
+    run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(COPIES_LISTED).cast("bigint")))
+    last = F.least(F.col("_copies"), F.col("_run") + COPIES_LISTED)
     return (
         rows.join(found, "_sha", "left")
-        .select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy"))
+        .select("*", run.alias("_run"))
+        .select("*", F.explode(F.sequence(F.col("_run") + 1, last)).alias("_copy"))
         .select(
             C.document_id().alias("doc_id"),
             F.when(keep != F.lit(C.NULL_ID), keep).alias("keep_id"),
