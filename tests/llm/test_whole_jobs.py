@@ -7,9 +7,19 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_brute_force import partners_of, removed_bytes, removed_words, without_aligned
 
-from merchlake.llm import common, decontaminate, line_dedup, repeats, suffix_dedup, superkmer
+from merchlake.llm import (
+    common,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    minhash,
+    repeats,
+    suffix_dedup,
+    superkmer,
+)
 
 
 def test_blocks_whose_lines_occur_earlier_elsewhere(spark):
@@ -117,3 +127,114 @@ def test_very_long_chat_text(spark):
         F.to_json(F.struct(F.lit("hi").alias("prompt"), F.repeat(F.lit("z"), F.lit(21_000_000)).alias("completion"))).alias(chat.RECORD),
     )
     assert chat.digests(rows.limit(0), record).first().loss_chars == 21_000_000
+
+
+def thue_morse(bits):
+    """A word and its mirror image, which collide in every polynomial hash modulo 2^64."""
+    signs = [0]
+    for _ in range(bits):
+        signs += [1 - s for s in signs]
+    return ("".join("ab"[s] for s in signs), "".join("ba"[s] for s in signs))
+
+
+@pytest.mark.parametrize("bits", [10, 12])
+def test_mirrored_words_differ(spark, bits):
+    """Texts that differ in one such word only are different to every operator."""
+    one, other = thue_morse(bits)
+    few = [f"w{i}" for i in range(12)]
+    long_a, long_b = (" ".join([*few, word, *few]) for word in (one, other))
+    frame = spark.createDataFrame([(1, long_a), (2, long_b)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in superkmer.remove_later(frame).collect()} == {1: 0, 2: 0}
+    sets = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame, size=25).collect()}
+    assert sets == {1: 1, 2: 2}
+    items = spark.createDataFrame([(7, f"{one} {one} {one} {one} {one}")], "item_id long, text string")
+    repeated = spark.createDataFrame(
+        [(1, " ".join([one] * 5)), (2, " ".join([other] * 5))], "doc_id long, text string"
+    )
+    found = {r.doc_id: r.contaminated for r in decontaminate.contamination(repeated, items).collect()}
+    assert found == {1: True, 2: False}
+    lines = spark.createDataFrame([(1, f"{one}\nx"), (2, f"{other}\ny")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in line_dedup.remove_aligned(lines).collect()} == {1: 0, 2: 0}
+
+
+def test_window_ranks_are_exact():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["a", "b", "ab"], rng.integers(0, 30))).encode() for _ in range(20)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    ranks, places = superkmer.window_ranks(data, offsets, 5)
+    by_rank, by_words = {}, {}
+    for text, first in zip(texts, places, strict=False):
+        words = text.split()
+        for at in range(len(words) - 4):
+            window, rank = tuple(words[at : at + 5]), int(ranks[first + at])
+            assert by_rank.setdefault(rank, window) == window and by_words.setdefault(window, rank) == rank
+
+
+def test_near_copies_with_repeated_and_missing_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, copy = " ".join(words), " ".join([*words, "more"])
+    far, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [
+        (3, near),
+        (5, copy),
+        (5, far),
+        (None, other),
+        (None, other + " end"),
+        (None, far + " end"),
+        (None, "alone here"),
+        (6, None),
+        (6, "alone too"),
+        (6, "alone too"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in minhash.keep_one(frame).collect()]
+    one_of_others = [row for row in kept if row in rows[3:5]]
+    assert len(one_of_others) == 1
+    # A null id comes before all others, so of (5, far) and its near copy the one without an id stays.
+    expected = [(3, near), (None, far + " end"), (None, "alone here"), (6, None), (6, "alone too")]
+    assert sorted(map(str, kept)) == sorted(map(str, expected + one_of_others))
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame).collect()}
+    assert {(3, 56, 3), (5, 57, 3), (5, 56, None), (6, 1, 6)} <= found
+
+
+@pytest.mark.parametrize("block_bytes", [200])
+def test_benchmark_in_passes(spark, block_bytes):
+    """Blocks far smaller than the benchmark give what one block gives."""
+    rng = np.random.default_rng(9)
+    items = [(i, " ".join(rng.choice([f"w{j}" for j in range(40)], 12))) for i in range(25)]
+    items += [(30, items[4][1]), (31, None), (None, "a b c d e"), (32, "")]
+    rows = [(k, f"some words before {items[k][1]} and after") for k in range(12)]
+    rows += [(12, " ".join((items[2][1], items[3][1]))), (12, None), (None, items[5][1]), (13, "clean"), (13, "clean")]
+    rows += [(14, items[5][1])] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held", F.lit("x"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found(size):
+        return sorted(map(str, decontaminate.contamination(frame, bench, block_bytes=size).collect()))
+
+    assert decontaminate.block_count(bench, block_bytes) > 5
+    whole = found(1 << 20)
+    assert found(block_bytes) == whole and len(whole) == len(rows)
+    kept = decontaminate.keep_clean(frame, bench, block_bytes=block_bytes)
+    assert kept.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["12", "13", "13"]
+
+
+def test_tiles_of_long_repetitive_texts():
+    """A text of one word, and one of two words in turn, cost no more than their diagonals."""
+    text, item = np.zeros(200_000, np.uint64), np.zeros(500, np.uint64)
+    assert decontaminate.tiles(text, item) == [(500, 0, 0)]
+    text[1::2] = 1
+    item[:250:2] = 1
+    done = decontaminate.tiles(text, item)
+    assert done[0][0] == 250 and sum(t[0] for t in done) <= 500
+
+
+def test_many_copies_of_one_row(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "COPIES_LISTED", 3)
+    frame = spark.createDataFrame([(1, "a")] * 10 + [(2, "a")] * 3 + [(None, "b")] * 7, "doc_id long, text string")
+    rows = sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in exact_dedup.exact_duplicates(frame).collect())
+    expected = [("1", "2", 13, False)] * 10 + [("2", "2", 13, False)] * 2 + [("2", "2", 13, True)]
+    expected += [("None", "None", 7, False)] * 6 + [("None", "None", 7, True)]
+    assert rows == sorted(expected)
