@@ -180,15 +180,14 @@ def _found_again(
             sums = W.prefix_sums(parsed.symbols)
             out = []
             for text, wanted in enumerate(batch.column("_wanted").slice(start, end - start).to_pylist()):
-                for one in wanted:
-                    first = int(parsed.places[text]) + one["_place"]
-                    last = first + (one["_shape"] >> 8) + spec.length
-                    # Rows that repeat doc_id may have other texts.
-                    if last > parsed.places[text + 1]:
-                        continue
-                    if W.span_hash(sums, np.array([first]), np.array([last])).view(np.int64)[0] != one["_s"]:
-                        continue
-                    out.append((keys[start + text], one, parsed, sums, first, last))
+                first = int(parsed.places[text]) + np.array([one["_place"] for one in wanted], np.int64)
+                last = first + (np.array([one["_shape"] for one in wanted], np.int64) >> 8) + spec.length
+                # Rows that repeat doc_id may have other texts.
+                inside = np.flatnonzero(last <= parsed.places[text + 1])
+                own = W.span_hash(sums, first[inside], last[inside]).view(np.int64)
+                for at, hashed in zip(inside.tolist(), own.tolist(), strict=True):
+                    if hashed == wanted[at]["_s"]:
+                        out.append((keys[start + text], wanted[at], parsed, sums, int(first[at]), int(last[at])))
             yield out
 
 
