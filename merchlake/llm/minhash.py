@@ -11,8 +11,10 @@ each bucket every class first meets the bucket's first class only, and pairs who
 are confirmed. Pairs inside a component need no look. Buckets that still hold several components are
 then searched across components, so that no link is lost: block against block, each pair of blocks in
 a group of its own, first by signatures for the classes that may have a link left, then these on their
-full sets. Only links are handed on, never pairs. The smallest doc_id of all its classes stands for a
-component.
+full sets. Blocks are bounded in rows and in shingles. The largest component of a bucket has blocks
+of its own, which do not meet each other, so that a group of very many near copies costs what its
+strays cost. Only links are handed on, never pairs. The smallest doc_id of all its classes stands for
+a component.
 
 Chances of losing a link of similarity 0.8: below 2e-7 in the bands (1 - 0.8^5)^40, and 4e-6 in the
 estimate (4.5 standard deviations); both fall fast above 0.8.
@@ -44,6 +46,8 @@ SIGNATURE = [f"_s{i}" for i in range(LONGS)]
 # Classes in a block of a bucket. Each row of a bucket is sent once per block of it, so blocks are as
 # large as a task can compare: two of them take some 150 MB.
 BLOCK = 1024
+# Shingles of all full sets in a block, about: 32 MB.
+SET_ENTRIES = 1 << 22
 # Standard deviations that an estimate may fall short by before a candidate is dropped.
 SLACK = 4.5
 
@@ -201,30 +205,49 @@ def _labelled(nodes: DataFrame, found: DataFrame, key: str, name: str) -> DataFr
     return nodes.join(labels, key, "left").withColumn(name, F.coalesce(name, key))
 
 
-def _mixed(placed: DataFrame) -> DataFrame:
-    """Rows (_band, _c, _r) of buckets that hold several components, with the bucket's size (_m)."""
+def _mixed(placed: DataFrame, room: Column) -> DataFrame:
+    """Rows of buckets that hold several components. ``room`` is what a row takes of a block, which
+    holds 1. A bucket that fits one block is one (_blocks is 1, _main null); of a larger one the
+    largest component (_main) has _main_blocks blocks of its own, and the others have _blocks."""
     several = (
         placed.groupBy("_band")
-        .agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"), F.count(F.lit(1)).alias("_m"))
+        .agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"), F.sum(room).alias("_room"))
         .where("_lo < _hi")
-        .select("_band", "_m")
+        .select("_band", "_room")
         .checkpoint()
     )
-    return placed.join(several, "_band")
+    largest = (
+        placed.join(several.where("_room > 1"), "_band")
+        .groupBy("_band", "_r")
+        .agg(F.sum(room).alias("_own"))
+        .groupBy("_band")
+        .agg(F.max(F.struct("_own", "_r")).alias("_top"))
+        .select("_band", "_top.*")
+    )
+    dealt = several.join(largest, "_band", "left").select(
+        "_band",
+        F.col("_r").alias("_main"),
+        F.ceil(F.col("_room") - F.coalesce("_own", F.lit(0.0))).alias("_blocks"),
+        F.ceil(F.coalesce("_own", F.lit(1.0))).alias("_main_blocks"),
+    )
+    return placed.join(dealt.checkpoint(), "_band")
 
 
 def _pairs_of_blocks(rows: DataFrame) -> GroupedData:
-    """A bucket's rows in blocks of about BLOCK, every pair of blocks a group of its own."""
-    blocks = F.ceil(F.col("_m") / BLOCK)
-    dealt = rows.withColumn("_block", F.pmod(F.xxhash64("_c"), blocks)).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
-    )
+    """A bucket's rows in blocks, every pair of blocks a group of its own, but for pairs inside the
+    largest component: a row of it is sent once per block of the other components only."""
+    main, zero = F.col("_r") == F.col("_main"), F.lit(0).cast("bigint")
+    at = F.xxhash64("_c")
+    block = F.when(main, F.col("_blocks") + F.pmod(at, F.col("_main_blocks"))).otherwise(F.pmod(at, F.col("_blocks")))
+    every = F.col("_blocks") + F.when(F.col("_main").isNull(), zero).otherwise(F.col("_main_blocks"))
+    meets = F.when(main, F.col("_blocks")).otherwise(every)
+    dealt = rows.withColumn("_block", block).withColumn("_other", F.explode(F.sequence(zero, meets - 1)))
     # Few bytes but much work: a fixed number of tasks, which adaptive execution does not merge.
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         dealt.withColumn("_i", F.least("_block", "_other"))
         .withColumn("_j", F.greatest("_block", "_other"))
-        .drop("_other", "_m")
+        .drop("_other", "_main", "_blocks", "_main_blocks")
         .repartition(parts, "_band", "_i", "_j")
         .groupBy("_band", "_i", "_j")
     )
@@ -330,9 +353,11 @@ def node_components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
 
     # Buckets that still hold several components are searched across them.
     placed = _labelled(members.select("_band", "_c"), found, "_c", "_r").checkpoint()
-    maybe = _pairs_of_blocks(_mixed(placed).join(marks, "_c")).applyInArrow(_open_classes(percent), "_c long")
-    undecided = maybe.distinct().checkpoint()
-    some = _mixed(placed.join(undecided, "_c", "left_semi")).join(marks, "_c").join(sets, "_c")
+    even = F.lit(1 / BLOCK)
+    maybe = _pairs_of_blocks(_mixed(placed, even).join(marks, "_c")).applyInArrow(_open_classes(percent), "_c long")
+    undecided = maybe.distinct().join(classes.select("_c", "_n"), "_c").checkpoint()
+    some = _mixed(placed.join(undecided, "_c"), F.greatest(even, F.col("_n") / SET_ENTRIES)).drop("_n")
+    some = some.join(marks, "_c").join(sets, "_c")
     links = links.unionByName(
         _pairs_of_blocks(some).applyInArrow(_links_across(percent), "_a long, _b long").distinct()
     ).checkpoint()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import binascii
 import dataclasses
 import hashlib
+import itertools
 import re
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -320,9 +322,12 @@ def test_small_windows_with_hot_grams(spark, most):
     assert found == removed_words(texts, 4)
 
 
-def test_near_copies_in_one_large_group(spark):
+@pytest.mark.parametrize(("block", "entries"), [(minhash.BLOCK, minhash.SET_ENTRIES), (16, 1 << 22), (64, 900)])
+def test_near_copies_in_one_large_group(spark, monkeypatch, block, entries):
     """Copies with many edits: most pairs of the group are no links, so components need the search
-    across components."""
+    across components; with small blocks the largest component has blocks of its own."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SET_ENTRIES", entries)
     rng = np.random.default_rng(11)
     base = [f"w{i}" for i in range(120)]
     texts = {}
@@ -335,3 +340,26 @@ def test_near_copies_in_one_large_group(spark):
     roots = brute_components(shingle_sets(texts, 5))
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(frame).collect()} == roots
     assert 1 < len(set(roots.values())) < 150
+
+
+def test_pairs_inside_the_largest_component_do_not_meet(spark, monkeypatch):
+    """Every pair across components meets in exactly one group; rows of the largest component go to
+    the blocks of the others only."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    placed = spark.createDataFrame(
+        [(7, c, 0 if c < 100 else c) for c in range(112)] + [(9, c, c % 2) for c in range(5)] + [(11, 1, 0), (11, 2, 0)],
+        "_band long, _c long, _r long",
+    )
+    dealt = minhash._mixed(placed, F.lit(1 / 8))
+    groups = minhash._pairs_of_blocks(dealt).agg(F.collect_list(F.struct("_c", "_r", "_block")).alias("all")).collect()
+    assert {g["_band"] for g in groups} == {7, 9}
+    met = Counter()
+    for g in groups:
+        for a, b in itertools.combinations(sorted(g["all"]), 2):
+            if a["_r"] != b["_r"] and (g["_i"] == g["_j"] or a["_block"] != b["_block"]):
+                met[g["_band"], a["_c"], b["_c"]] += 1
+    rows = placed.where("_band <> 11").collect()
+    pairs = {(a[0], a[1], b[1]) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and a[2] != b[2]}
+    assert met == Counter(pairs)
+    # 12 others in 2 blocks, 100 in 13 of their own.
+    assert sum(len(g["all"]) for g in groups if g["_band"] == 7) == 12 * 15 + 100 * 2
