@@ -7,8 +7,8 @@ of equal bits, corrected for chance collisions, estimates the similarity of cand
 that may reach the threshold are confirmed on their full sets, and linked documents form components.
 
 No bucket's pairs are listed in full. Documents with equal sets are one class, a numbered node. In
-each bucket every class first meets the bucket's first class only, and pairs whose estimate allows it
-are confirmed. Pairs inside a component need no look. Buckets that still hold several components are
+each bucket every class first meets the class of the smallest doc_id only, and pairs whose estimate
+allows it are confirmed. Pairs inside a component need no look. Buckets that still hold several components are
 then searched across components, so that no link is lost: block against block, each pair of blocks in
 a group of its own, first by signatures for the classes that may have a link left, then these on their
 full sets. Blocks are bounded in rows and in shingles. The largest component of a bucket has blocks
@@ -325,15 +325,17 @@ def node_components(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
         .drop("_least"),
         "classes",
     )
-    banded = classes.select("_c", F.explode("_bands").alias("_band"))
+    banded = classes.select("_c", "_k", F.explode("_bands").alias("_band"))
+    # The class of the smallest doc_id is the hub: a document tends to stand before its copies, and
+    # these are more like it than like each other.
     buckets = (
         banded.groupBy("_band")
-        .agg(F.min("_c").alias("_hub"), F.max("_c").alias("_last"))
-        .where("_hub < _last")
+        .agg(F.min_by("_c", "_k").alias("_hub"), F.min("_c").alias("_least"), F.max("_c").alias("_last"))
+        .where("_least < _last")
         .select("_band", "_hub")
         .checkpoint()
     )
-    members = banded.join(buckets, "_band").checkpoint()
+    members = banded.select("_band", "_c").join(buckets, "_band").checkpoint()
     stars = members.where("_c <> _hub").select(F.col("_c").alias("_a"), F.col("_hub").alias("_b")).distinct()
 
     marks = classes.select("_c", "_n", *SIGNATURE)
