@@ -53,11 +53,15 @@ def expected_pay(qty: Column, price: Column, discount: Column) -> Column:
     return F.round(gross - discount.cast("decimal(20,4)"), 2).try_cast(S.PAY)
 
 
-def bad_amount(is_bad_qty: Column, is_bad_price: Column, pay: Column, expected: Column) -> Column:
+def bad_amount(
+    is_bad_qty: Column, is_bad_price: Column, pay: Column, expected: Column, copies: Column | None = None
+) -> Column:
     """R06: paid amount absent or off by more than a cent, or the expected one too large for its
-    column, which leaves the row without an amount. Also counts R04 and R05 rows."""
+    column, which leaves the row without an amount. Also counts R04 and R05 rows. ``copies``, never 0,
+    ties the flag to the de-duplicated row, as in ``reject_rule``."""
     off = F.abs(pay - expected) > F.lit(S.AMOUNT_TOLERANCE).cast("decimal(3,2)")
-    return is_bad_qty | is_bad_price | pay.isNull() | expected.isNull() | F.coalesce(off, F.lit(False))
+    bad = is_bad_qty | is_bad_price | pay.isNull() | expected.isNull() | F.coalesce(off, F.lit(False))
+    return bad if copies is None else F.when(copies > 0, bad).otherwise(F.lit(False))
 
 
 def bad_status(status: Column) -> Column:

@@ -48,7 +48,7 @@ def stage(orders: DataFrame) -> DataFrame:
     )
     return checked.select(
         "*",
-        R.bad_amount(c("is_bad_qty"), c("is_bad_price"), c("paid"), c("pay")).alias("is_bad_amount"),
+        R.bad_amount(c("is_bad_qty"), c("is_bad_price"), c("paid"), c("pay"), c("copies")).alias("is_bad_amount"),
         R.reject_rule(c("is_bad_time"), c("is_bad_qty"), c("is_bad_price"), c("copies")).alias("rule_code"),
     )
 
