@@ -31,6 +31,20 @@ def build_session(app: str = "merchlake", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def split_shuffles(spark: SparkSession, path: str, part_mb: int = 4) -> None:
+    """Let shuffles begin with a partition for every ``part_mb`` of the files under ``path`` where that
+    is more than the session has, so that what one task sorts or folds does not grow with the input.
+    Adaptive execution merges the small ones."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = int(system.getContentSummary(folder).getLength() / (part_mb * 1_000_000))
+    if wanted > int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
 def _local(spark: SparkSession) -> bool:
     """Whether driver and executors are one process, so that they share all folders."""
     return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
