@@ -13,7 +13,7 @@ gram travel together as one stretch. What is shuffled:
 Where a gram has very many distinct stretches, no group of them is made. They are cut into blocks of
 windows at the same distance from the gram; blocks whose common symbols occur in one stretch only
 end here, and the windows of the others are counted by their hashes, map-side first. Documents are
-read by all steps whole; only doc_id joins move their texts.
+read by all steps whole; only doc_id joins move their texts, of those grams only the stretches.
 """
 
 from __future__ import annotations
@@ -215,45 +215,92 @@ def contested(docs: DataFrame, distinct: DataFrame, several: DataFrame, spec: Wi
     )
 
 
+def _hot_stretches(docs: DataFrame, grams: np.ndarray, spec: Windows) -> DataFrame:
+    """``occurrences`` of the stretches of some grams, with their symbols (_text)."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("_k").to_numpy()
+            for start, end, data, offsets in C.text_chunks(batch):
+                parsed = spec.parse(data, offsets)
+                text, first, many, lead, gram, whole = stretches(parsed, spec)
+                hot = np.flatnonzero(np.isin(gram.view(np.int64), grams))
+                text, first, many, lead, gram, whole = (x[hot] for x in (text, first, many, lead, gram, whole))
+                begin = parsed.places[text] + first
+                cut = [parsed.cut(a, b) for a, b in zip(begin.tolist(), (begin + many - 1 + spec.length).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(gram.view(np.int64)),
+                        pa.array(whole.view(np.int64)),
+                        pa.array(keys[start:end][text]),
+                        pa.array(first << 16 | (many - 1) << 8 | lead),
+                        pa.array(cut, pa.binary()),
+                    ],
+                    names=["_g", "_s", "_k", "_at", "_text"],
+                )
+
+    return C.texts(docs).mapInArrow(emit, "_g long, _s long, _k long, _at long, _text binary")
+
+
+def _up_to(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``counts`` numbers from 0: its row, and the number."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def hot_windows(docs: DataFrame, distinct: DataFrame, several: DataFrame, spec: Windows) -> DataFrame | None:
     """The windows of one copy of each stretch whose gram has very many distinct ones, in the columns
     of ``occurrences`` as stretches of one window; None if no gram has. Left out are windows of blocks
-    whose common symbols occur in one stretch only."""
+    whose common symbols occur in one stretch only. Only the stretches of these grams leave their
+    documents."""
     many = several.where(F.col("_stretches") > spec.most_stretches).select("_g")
-    if many.isEmpty():
+    # At most one for every ``most_stretches`` distinct stretches.
+    grams = np.array([row["_g"] for row in many.collect()], np.int64)
+    if not len(grams):
         return None
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _found_again(batches, spec):
-            routes, keys, places, hashes = [], [], [], [np.empty(0, np.uint64)]
-            for key, one, _, sums, first, _ in found:
-                windows, lead = (one["_shape"] >> 8) + 1, one["_shape"] & 0xFF
-                each = first + np.arange(windows)
-                own = W.span_hash(sums, each, each + spec.length)
-                for block in range((lead - windows + 1) // spec.block, lead // spec.block + 1):
-                    nearest, farthest = block * spec.block, (block + 1) * spec.block - 1
-                    low, high = max(0, lead - farthest), min(windows - 1, lead - nearest)
-                    anchor = first + lead
-                    core = np.array([anchor - nearest]), np.array([anchor - farthest + spec.length])
-                    gram = np.array([one["_g"] & (2**64 - 1)], np.uint64)
-                    route = W.mix(W.span_hash(sums, *core) + gram + np.uint64(block))
-                    routes.append(int(route.view(np.int64)[0]))
-                    keys.append(key)
-                    places.append(one["_place"] + low)
-                    hashes.append(own[low : high + 1])
-            ends = np.cumsum([0, *[len(h) for h in hashes[1:]]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(routes, pa.int64()),
-                    pa.array(keys, pa.int64()),
-                    pa.array(places, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(hashes).view(np.int64))),
-                ],
-                names=["_g", "_k", "_place", "_windows"],
-            )
+        for batch in batches:
+            data, offsets = _binary(batch.column("_text").cast(pa.large_binary()))
+            for start, end in C.runs_of(offsets, C.CHUNK_BYTES):
+                part = batch.slice(start, end - start)
+                gram, key, at = (part.column(c).to_numpy() for c in ("_g", "_k", "_at"))
+                windows, lead = (at >> 8 & 0xFF) + 1, at & 0xFF
+                parsed = spec.parse(data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start])
+                sums, first = W.prefix_sums(parsed.symbols), parsed.places[:-1]
+                nearest = (lead - windows + 1) // spec.block
+                row, block = _up_to(lead // spec.block + 1 - nearest)
+                block += nearest[row]
+                low = np.maximum(0, lead[row] - (block + 1) * spec.block + 1)
+                high = np.minimum(windows[row] - 1, lead[row] - block * spec.block)
+                # The symbols that all windows of a block share.
+                core = (first + lead)[row] - block * spec.block
+                shared_by = W.span_hash(sums, core, core - spec.block + 1 + spec.length)
+                route = W.mix(shared_by + gram.view(np.uint64)[row] + block.astype(np.uint64))
+                of, each = _up_to(high - low + 1)
+                each += (first[row] + low)[of]
+                ends = np.r_[0, np.cumsum(high - low + 1)].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(route.view(np.int64)),
+                        pa.array(key[row]),
+                        pa.array((at >> 16)[row] + low),
+                        pa.ListArray.from_arrays(
+                            pa.array(ends), pa.array(W.span_hash(sums, each, each + spec.length).view(np.int64))
+                        ),
+                    ],
+                    names=["_g", "_k", "_place", "_windows"],
+                )
 
+    place = F.pmod("_first", F.lit(_PLACE).cast("decimal(38,0)"))
+    firsts = distinct.join(F.broadcast(many), "_g").select(
+        "_s",
+        ((F.col("_first") - place) / F.lit(_PLACE)).cast("bigint").alias("_k"),
+        (F.shiftleft(place.cast("bigint"), 16) + F.col("_shape")).alias("_at"),
+    )
+    copies = _hot_stretches(docs, grams, spec).join(firsts, ["_k", "_at", "_s"], "left_semi")
     blocks = C.stored(
-        _with_texts(docs, distinct.join(many, "_g")).mapInArrow(
+        copies.select("_g", "_k", "_at", "_text").mapInArrow(
             emit, "_g long, _k long, _place long, _windows array<long>"
         ),
         "blocks",

@@ -238,3 +238,22 @@ def test_many_copies_of_one_row(spark, monkeypatch):
     expected = [("1", "2", 13, False)] * 10 + [("2", "2", 13, False)] * 2 + [("2", "2", 13, True)]
     expected += [("None", "None", 7, False)] * 6 + [("None", "None", 7, True)]
     assert rows == sorted(expected)
+
+
+def test_hot_grams_move_their_stretches_only(spark, monkeypatch):
+    """Whole texts are joined once, however many grams are hot, and what repeats still goes."""
+    rng = np.random.default_rng(11)
+    texts = {}
+    for key in range(30):
+        before, after = (" ".join(f"{rng.integers(10**6)}" for _ in range(40)) for _ in range(2))
+        texts[key] = f"{before} to be or not to be that is {after}".encode()
+    # A copy, and a copy whose id is smaller.
+    texts[30], texts[-1] = texts[2], texts[5]
+    texts = dict(sorted(texts.items()))
+    frame = spark.createDataFrame([(k, t.decode()) for k, t in texts.items()], "doc_id long, text string")
+    joined, with_texts = [], repeats._with_texts
+    monkeypatch.setattr(repeats, "_with_texts", lambda *given: joined.append(1) or with_texts(*given))
+    words = dataclasses.replace(superkmer.WINDOWS, length=6, gram=2, block=2, most_stretches=8)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept.encode()) for r in superkmer.remove_later(frame, words).collect()}
+    assert found == removed_words(texts, 6)
+    assert len(joined) == 1
