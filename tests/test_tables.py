@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from decimal import Decimal
 from pathlib import Path
 
@@ -207,6 +208,28 @@ def test_any_text_survives_csv(spark, folder):
     assert both.count() == len(texts) + 1 and both.where("k = '1' AND t = 'a\\\\nb'").count() == 1
 
 
+def test_tables_written_side_by_side(spark, folder, monkeypatch):
+    """All writes are under way at once, texts come back as they were, and an error is not lost."""
+    texts = ["plain", "a\\b", "x\ny", " ", None]
+    tables = {
+        name: spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, t string") for name in "abc"
+    }
+    met, write = threading.Barrier(3), files.write_csv
+
+    def together(df, path):
+        met.wait(timeout=60)
+        write(df, path)
+
+    monkeypatch.setattr(files, "write_csv", together)
+    files.write_csvs(tables, {name: f"{folder}/{name}" for name in tables})
+    for name in tables:
+        back = files.scan_csv(spark, f"{folder}/{name}", S.all_strings(["k", "t"]))
+        assert {r["k"]: r["t"] for r in back.collect()} == {str(i): t for i, t in enumerate(texts)}
+    monkeypatch.setattr(files, "write_csv", lambda df, path: write(df.selectExpr("raise_error('no') AS k"), path))
+    with pytest.raises(Exception, match="no"):
+        files.write_csvs(tables, {name: f"{folder}/{name}2" for name in tables})
+
+
 def test_digests_find_planted_differences(spark):
     from merchlake.operators import reconcile
 
