@@ -6,16 +6,19 @@ however alike many vectors are. Each round of the descent is a chain of joins: a
 and those that name it meet at that node, so that neighbours of neighbours are compared; what beats
 a node's worst neighbour is sent to it and merged. A pair of neighbours that met in an earlier round
 is not compared again. Rounds end when few lists still change. The graph is built on components
-rounded to 8 bits, of which a vector travels once to each block of nodes that needs it.
+rounded to 8 bits, of which a vector travels once to each block of nodes that needs it. As long as a
+block may hold all vectors there are at most ``TASKS`` of them, so that what travels grows with the
+input; beyond, blocks are as large as what they may hold allows, and a vector goes to at most as many
+blocks as there are nodes at which it meets others.
 
 A query is a node of the graph. It starts with its own neighbours, and as long as one of its
 ``WIDTH`` best nodes is not expanded, that node's neighbours are scored, in double precision on the
 original vectors, and kept if among the ``BEAM`` best.
 
-Whatever is held together is bounded by parameters: ``CHUNK`` nodes, ``BLOCK`` nodes with their
-neighbours, ``QUERIES`` queries with the nodes they ask for. Reverse neighbours beyond ``REVERSE``
-and candidates beyond ``OFFERS`` for one node in a block are not followed in that round; the index
-is approximate by these parameters, and its recall is measured.
+Whatever is held together is bounded by parameters: ``CHUNK`` nodes, and about ``HELD`` bytes of vectors
+for a block of nodes or queries. Reverse neighbours beyond ``REVERSE`` and candidates beyond ``OFFERS`` for
+one node in a block are not followed in that round, nor is a candidate whose name of 15 bits is that of
+a neighbour; the index is approximate by these parameters, and its recall is measured.
 
 Nulls and edge cases: vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without vec_id; of rows that repeat a vec_id one takes part, that whose vector
@@ -41,12 +44,14 @@ NEIGHBOURS = 56
 REVERSE = 64
 OFFERS = 24
 ORDERS, CHUNK, PLANES = 8, 512, 24
-BLOCK = 4096
+# Blocks of nodes or queries while one can hold all vectors, vectors that make a block worth a task, and
+# bytes of vectors that a block holds (twice that, and once more in batches, while it is filled).
+TASKS, FEWEST, HELD = 8, 2048, 1 << 27
 # Offers in one row, and nodes whose offers are merged together.
 BUNDLE, BUCKET = 8192, 2048
 # The descent ends when fewer of all list entries than this are new.
 CHANGED = 0.03
-BEAM, WIDTH, QUERIES = 80, 40, 512
+BEAM, WIDTH = 80, 40
 _SEED = 20240229
 
 
@@ -109,12 +114,12 @@ def node_table(own: DataFrame) -> DataFrame:
 
 
 def bytes_matrix(values: list[bytes]) -> np.ndarray:
-    """Rounded vectors as rows, in single precision, in which their inner products are exact up to
-    1,000 components and near enough beyond."""
+    """Rounded vectors as rows. In single precision their inner products are exact up to 1,000
+    components and near enough beyond."""
     width = max(map(len, values), default=0)
     if all(len(v) == width for v in values):
-        return np.frombuffer(b"".join(values), np.int8).reshape(len(values), width).astype(np.float32)
-    return np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), np.int8).reshape(-1, width).astype(np.float32)
+        return np.frombuffer(b"".join(values), np.int8).reshape(len(values), width)
+    return np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), np.int8).reshape(-1, width)
 
 
 _NEAR = "_v long, _w array<long>, _s array<float>, _new array<boolean>"
@@ -154,7 +159,7 @@ def first_offers(nodes: DataFrame, count: int, buckets: int, orders: int = ORDER
 
     def best(table: pa.Table) -> pa.RecordBatch:
         ids = table.column("_v").to_numpy()
-        vectors, scale = bytes_matrix(table.column("_q").to_pylist()), table.column("_scale").to_numpy()
+        vectors, scale = bytes_matrix(table.column("_q").to_pylist()).astype(np.float32), table.column("_scale").to_numpy()
         scores = (vectors @ vectors.T) * (scale[:, None] * scale)
         np.fill_diagonal(scores, -np.inf)
         most = min(NEIGHBOURS // 2, len(ids) - 1)
@@ -233,10 +238,30 @@ def merged(offers: DataFrame, buckets: int, most: int = NEIGHBOURS) -> DataFrame
     return order.mapInArrow(merge_all, f"_bucket int, {_NEAR}")
 
 
+def block_count(rows: int, asks: int, vectors: int, size: int) -> int:
+    """Blocks for ``rows`` of which each asks for at most ``asks`` of ``vectors`` of ``size`` bytes. Rows
+    of one block share vectors, so there are few blocks, until these would hold more than ``HELD``."""
+    blocks, held = max(1, min(TASKS, math.ceil(vectors / FEWEST))), max(1, HELD // size)
+    if vectors > held:
+        # As many rows as ask for that many different vectors, if they ask at random.
+        blocks = max(blocks, math.ceil(rows * asks / (-math.log1p(-held / vectors) * vectors)))
+    return blocks
+
+
+def _shape(nodes: DataFrame) -> tuple[int, int]:
+    """How many vectors there are, and the components of the longest."""
+    row = nodes.agg(F.count(F.lit(1)).alias("count"), F.max(F.size("_vec")).alias("width")).first()
+    return row["count"], row["width"] or 0
+
+
 def _block(key: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block")
 
 
+def _name(key: str | Column) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(0x7FFF)).cast("smallint")
+
+
 def meetings(graph: DataFrame) -> DataFrame:
     """Every node with those that meet there: _w and whether the edge is new (_new). These are its
     neighbours, the ``REVERSE`` nearest of those that name it, and itself."""
@@ -261,16 +286,20 @@ def meetings(graph: DataFrame) -> DataFrame:
 def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int, buckets: int) -> DataFrame:
     """Offers from one round: all that meet at a node are compared, but for pairs that met before."""
     asked = met.select("_block", F.explode("_w").alias("_v")).distinct()
-    worst = graph.select("_v", "_w", F.when(F.size("_s") == NEIGHBOURS, F.element_at("_s", -1)).alias("_worst"))
+    worst = graph.select(
+        "_v", _name("_v").alias("_name"), F.transform("_w", _name).alias("_near"),
+        F.when(F.size("_s") == NEIGHBOURS, F.element_at("_s", -1)).alias("_worst"),
+    )
     vectors = asked.join(nodes.select("_v", "_q", "_scale").join(worst, "_v"), "_v")
     none = F.lit(None)
     together = vectors.select(
         "_block", F.lit(0).alias("_kind"), "_v", "_q", "_scale", F.coalesce("_worst", F.lit(float("-inf"))).cast("float").alias("_worst"),
-        "_w", none.cast("array<boolean>").alias("_new"),
+        "_name", "_near", none.cast("array<long>").alias("_w"), none.cast("array<boolean>").alias("_new"),
     ).unionByName(
         met.select(
             "_block", F.lit(1).alias("_kind"), "_v", none.cast("binary").alias("_q"), none.cast("float").alias("_scale"),
-            none.cast("float").alias("_worst"), "_w", "_new",
+            none.cast("float").alias("_worst"), none.cast("smallint").alias("_name"), none.cast("array<smallint>").alias("_near"),
+            "_w", "_new",
         )
     )
 
@@ -281,7 +310,7 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int, bu
         at[wide] = known.find(batch.column("_w").flatten().to_numpy())
         new = np.zeros(wide.shape, bool)
         new[wide] = batch.column("_new").flatten().to_numpy(zero_copy_only=False)
-        vectors, scale = known.q[at], known.scale[at]
+        vectors, scale = known.q[at].astype(np.float32), known.scale[at]
         scores = np.matmul(vectors, vectors.transpose(0, 2, 1)) * (scale[:, :, None] * scale[:, None, :])
         fit = wide[:, :, None] & wide[:, None, :] & (new[:, :, None] | new[:, None, :]) & (at[:, :, None] != at[:, None, :])
         row, place, other = np.nonzero(fit & (scores > known.worst[at][:, :, None]))
@@ -313,7 +342,7 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int, bu
             if found:
                 yield finish(known, found)
 
-    order = together.repartition(blocks, "_block").sortWithinPartitions("_block", "_kind", "_v")
+    order = together.repartitionById(blocks, F.col("_block")).sortWithinPartitions("_block", "_kind", "_v")
     offers = order.mapInArrow(run, _OFFERED)
     old = graph.select(
         "_bucket", F.transform("_w", lambda _: F.col("_v")).alias("_v"), "_w", "_s",
@@ -323,38 +352,45 @@ def compared(graph: DataFrame, met: DataFrame, nodes: DataFrame, blocks: int, bu
 
 
 class _Vectors:
-    """The rounded vectors of a block, by node, and the neighbours that these have."""
+    """The rounded vectors of a block, by node, and the names of the neighbours that these have."""
 
     def __init__(self, batches: list[pa.RecordBatch]):
-        table = pa.Table.from_batches(batches)
-        self.ids = table.column("_v").to_numpy()
-        self.q = bytes_matrix(table.column("_q").to_pylist())
-        self.scale, self.worst = table.column("_scale").to_numpy(), table.column("_worst").to_numpy()
-        # Pairs of a node and its neighbour, where both are here.
-        lists = table.column("_w").combine_chunks()
-        near = lists.flatten().to_numpy()
-        at = np.minimum(self.find(near), len(self.ids) - 1)
-        owner = np.repeat(np.arange(len(self.ids)), lists.value_lengths().to_numpy())
-        here = self.ids[at] == near
-        self.edges = np.sort(owner[here] * len(self.ids) + at[here])
+        self.ids = np.concatenate([b.column("_v").to_numpy() for b in batches])
+        parts = [bytes_matrix(b.column("_q").to_pylist()) for b in batches]
+        width = max(p.shape[1] for p in parts)
+        self.q = np.zeros((len(self.ids), width), np.int8)
+        self.name, self.scale, self.worst = (
+            np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("_name", "_scale", "_worst")
+        )
+        # No node is named -1.
+        self.near = np.full((len(self.ids), NEIGHBOURS), -1, np.int16)
+        at = 0
+        for batch, part in zip(batches, parts, strict=True):
+            end = at + batch.num_rows
+            self.q[at:end, : part.shape[1]] = part
+            lists = batch.column("_near")
+            here = np.arange(NEIGHBOURS) < lists.value_lengths().to_numpy()[:, None]
+            self.near[at:end][here] = lists.flatten().to_numpy()
+            at = end
 
     def find(self, ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ids, ids)
 
     def pairs(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Which pairs are neighbours already."""
-        if not len(self.edges):
-            return np.zeros(len(v), bool)
-        keys = v * len(self.ids) + w
-        return self.edges[np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)] == keys
+        """Which pairs are neighbours already, by name."""
+        out = np.empty(len(v), bool)
+        for first in range(0, len(v), 1 << 16):
+            cut = slice(first, first + (1 << 16))
+            out[cut] = (self.near[v[cut]] == self.name[w[cut], None]).any(axis=1)
+        return out
 
 
 class _Originals:
-    """The original vectors of a block, by node, in double precision."""
+    """The original vectors of a block, by node."""
 
     def __init__(self, batches: list[pa.RecordBatch]):
         self.ids = np.concatenate([b.column("_v").to_numpy() for b in batches])
-        parts = [matrix(b.column("_vec")).astype(np.float64) for b in batches]
+        parts = [matrix(b.column("_vec")) for b in batches]
         width = max(p.shape[1] for p in parts)
         self.vectors = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in parts])
 
@@ -382,7 +418,7 @@ def _per_block(batches: Iterator[pa.RecordBatch], collect: type) -> Iterator[tup
         while here is not None and here[:2] == (block, 0):
             held.append(here[2])
             here = next(rows, None)
-        known = collect(held)
+        known, held = collect(held), []
 
         def rest() -> Iterator[pa.RecordBatch]:
             nonlocal here
@@ -395,8 +431,10 @@ def _per_block(batches: Iterator[pa.RecordBatch], collect: type) -> Iterator[tup
 
 def build(nodes: DataFrame, changed: float = CHANGED) -> DataFrame:
     """The neighbour graph: _v, its neighbours best first (_w) and their rounded scores (_s)."""
-    count = nodes.count()
-    blocks, buckets = max(1, math.ceil(count / BLOCK)), max(1, math.ceil(count / BUCKET))
+    count, width = _shape(nodes)
+    # A rounded vector stands with its neighbours' names, its own, its number, scale and worst score.
+    blocks = block_count(count, 1 + NEIGHBOURS + REVERSE, count, width + 2 * NEIGHBOURS + 18)
+    buckets = max(1, math.ceil(count / BUCKET))
     graph = C.stored(merged(first_offers(nodes, count, buckets), buckets), "graph")
     while True:
         met = C.stored(meetings(graph).withColumn("_block", _block("_v", blocks)), "met")
@@ -413,7 +451,8 @@ def descend(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame
     """Greedy search from every query node (_v): the ``BEAM`` best nodes found (_w) and their scores
     (_s), best first, the query's own node among them."""
     kind = dict(nodes.dtypes)["_vec"]
-    blocks = max(1, math.ceil(queries.count() / QUERIES))
+    count, width = _shape(nodes)
+    blocks = block_count(queries.count(), 1 + WIDTH * NEIGHBOURS, count, 8 + width * (8 if "double" in kind else 4))
     state = C.stored(
         queries.join(nodes.select("_v", "_vec"), "_v").select(
             "_v", "_vec", _block("_v", blocks), F.array("_v").alias("_w"), F.array(F.lit(float("inf"))).alias("_s"),
@@ -433,7 +472,8 @@ def descend(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame
                 scores = np.empty(len(asked))
                 for first in range(0, len(asked), 1 << 14):
                     cut = slice(first, first + (1 << 14))
-                    scores[cut] = (known.vectors[asked[cut]] * known.vectors[own[row[cut]]]).sum(axis=1)
+                    mine, other = (known.vectors[at].astype(np.float64) for at in (own[row[cut]], asked[cut]))
+                    scores[cut] = (other * mine).sum(axis=1)
                 old = part.column("_w").value_lengths().to_numpy()
                 row = np.r_[np.repeat(np.arange(part.num_rows), old), row]
                 w = np.r_[part.column("_w").flatten().to_numpy(), known.ids[asked]]
@@ -488,7 +528,7 @@ def descend(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame
                 .select("_block", F.lit(1).alias("_kind"), "_v", "_vec", "_ask", "_w", "_s", "_done")
             )
         )
-        order = together.repartition(blocks, "_block").sortWithinPartitions("_block", "_kind", "_v")
+        order = together.repartitionById(blocks, F.col("_block")).sortWithinPartitions("_block", "_kind", "_v")
         state = C.stored(order.mapInArrow(score, schema), "search")
     found = finished[0]
     for more in finished[1:]:

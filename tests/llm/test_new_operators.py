@@ -11,7 +11,9 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from merchlake.llm import lexical, nn_descent, prefix_trie
 from merchlake.llm.queries import ORACLE, QUERIES
@@ -234,3 +236,60 @@ def test_nearest_edges(spark):
     # A shorter vector counts as padded.
     assert answers(nn_descent.nearest(frame)) == {0: [(20, 3.0), (7, 0.0)], 20: [(0, 3.0), (7, -3.0)]}
     assert nn_descent.nearest(frame.where("vec_id = 20")).count() == 0
+
+
+def test_nearest_blocks():
+    asks, held = 1 + nn_descent.NEIGHBOURS + nn_descent.REVERSE, nn_descent.HELD // 200
+    # Five times the nodes: five times the vectors sent, as long as a block can hold all.
+    assert {nn_descent.block_count(n, asks, n, 200) for n in (20_000, 51_300, 256_500, held)} == {nn_descent.TASKS}
+    assert nn_descent.block_count(0, asks, 0, 200) == nn_descent.block_count(500, asks, 500, 200) == 1
+    rng = np.random.default_rng(4)
+    for n in (800_000, 1_500_000):
+        rows = math.ceil(n / nn_descent.block_count(n, asks, n, 200))
+        assert 0.95 * held < len(np.unique(rng.integers(0, n, rows * asks))) < 1.01 * held
+    # The longer the vectors, the fewer are held.
+    assert nn_descent.block_count(n, asks, n, 1000) > 4 * nn_descent.block_count(n, asks, n, 200)
+
+
+def test_nearest_copies_of_vectors(spark, monkeypatch):
+    """The rows in which vectors travel to blocks in the first round, at two sizes."""
+    made, compared = {}, nn_descent.compared
+
+    def counted(graph, met, nodes, *rest):
+        made[nodes.count()] = met.select("_block", F.explode("_w")).distinct().count()
+        return compared(graph, met, nodes, *rest)
+
+    monkeypatch.setattr(nn_descent, "compared", counted)
+    rng = np.random.default_rng(5)
+    for n in (8_000, 40_000):
+        rows = pa.table({"vec_id": np.arange(n), "embedding": list(rng.standard_normal((n, 8)).astype(np.float32))})
+        nn_descent.build(nn_descent.node_table(nn_descent.members(spark.createDataFrame(rows))[1]), 1.0)
+    assert made[40_000] <= 8 * 40_000
+    assert made[40_000] <= 12 * made[8_000]
+
+
+@pytest.mark.parametrize("held", [1 << 27, 200_000])
+def test_nearest_recall_by_blocks(spark, monkeypatch, held):
+    """One block holds few vectors or many: the neighbours found are as near."""
+    monkeypatch.setattr(nn_descent, "HELD", held)
+    rng = np.random.default_rng(6)
+    ids, vectors = np.arange(3000) * 2, rng.standard_normal((3000, 24)).astype(np.float32)
+    frame = spark.createDataFrame(pa.table({"vec_id": ids, "embedding": list(vectors)}))
+    expected, got = plain_nearest(ids, vectors.astype(float)), answers(nn_descent.nearest(frame))
+    hits = sum(len({x[0] for x in got[q]} & {x[0] for x in found}) for q, found in expected.items())
+    assert hits >= 0.95 * sum(map(len, expected.values()))
+
+
+def test_nearest_known_pairs():
+    lists = pa.array([[7, 9], [], [7]], pa.list_(pa.int16()))
+    batch = pa.table(
+        {
+            "_v": [10, 20, 30], "_q": [b"\x01\xff", b"\x02", b"\x03\x7f"], "_name": pa.array([5, 7, 9], pa.int16()), "_near": lists,
+            "_scale": pa.array([1.0] * 3, pa.float32()), "_worst": pa.array([0.0] * 3, pa.float32()),
+        }
+    ).to_batches()[0]
+    # A slice, as blocks are cut from batches, and a second batch.
+    known = nn_descent._Vectors([batch.slice(0, 1), batch.slice(1)])
+    assert known.q.tolist() == [[1, -1], [2, 0], [3, 127]]
+    v, w = np.repeat(np.arange(3), 3), np.tile(np.arange(3), 3)
+    assert known.pairs(v, w).reshape(3, 3).tolist() == [[False, True, True], [False] * 3, [False, True, False]]
