@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,13 +41,44 @@ def split_shuffles(spark: SparkSession, path: str, part_mb: int = 4) -> None:
     """Let shuffles begin with a partition for every ``part_mb`` of the files under ``path`` where that
     is more than the session has, so that what one task sorts or folds does not grow with the input.
     Adaptive execution merges the small ones."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = int(system.getContentSummary(folder).getLength() / (part_mb * 1_000_000))
+    wanted = int(folder_bytes(spark, path) / (part_mb * 1_000_000))
     if wanted > int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing = threading.Lock()
+# Per session: writes under way, and the setting before the first of them.
+_writes: dict[int, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is run inside deletes its shuffle files when it ends. They would otherwise stay until the
+    driver happens to collect its garbage. For writes, whose plans nothing runs again."""
+    key = spark._jsparkSession.hashCode()
+    with _freeing:
+        under_way, before = _writes.get(key) or (0, spark.conf.get(FREE_SHUFFLES, None))
+        _writes[key] = under_way + 1, before
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _freeing:
+            under_way, before = _writes.pop(key)
+            if under_way > 1:
+                _writes[key] = under_way - 1, before
+            elif before is None:
+                spark.conf.unset(FREE_SHUFFLES)
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 def _local(spark: SparkSession) -> bool:
     """Whether driver and executors are one process, so that they share all folders."""
     return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None

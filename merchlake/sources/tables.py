@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchlake import schemas as S
+from merchlake.session import folder_bytes, freed_shuffles, scratch_path
 
 # Tables whose single days grow with the data. The other metric tables hold a row per day and
 # channel, province or category; a directory per day would hold next to nothing.
@@ -32,6 +33,64 @@ _DAY_COLUMN = {"ods_order_detail": LOAD_DAY, "dwd_clean_reject": LOAD_DAY}
 # Inside a day, files are sorted by these, so that their row groups can be skipped.
 _SORTED = {"dwd_order_detail": ("order_time",), "dws_order_key": ("order_id",), "dws_user_key": ("user_id",)}
 
+# Files of tables and scratch tables.
+CODEC = "zstd"
+# Wide exchanges of larger tables are made part by part, so that their shuffle files do not all lie on
+# disk at once: a part for as many bytes of stored rows, and as many parts at most.
+PART_BYTES, MOST_PARTS = 512_000_000, 8
+
+
+def write_parquet(df: DataFrame, folder: str, mode: str = "errorifexists", by: tuple[str, ...] = ()) -> None:
+    """Write ``df``; its shuffle files go when it is written."""
+    writer = df.write.mode(mode).option("compression", CODEC)
+    with freed_shuffles(df.sparkSession):
+        (writer.partitionBy(*by) if by else writer).parquet(folder)
+
+
+def parts_of(size: int) -> int:
+    return max(1, min(MOST_PARTS, -(-size // PART_BYTES)))
+
+
+def in_parts(df: DataFrame, number: Column, parts: int) -> list[DataFrame]:
+    """``df`` as several frames: rows of equal ``number``, an integer that may be null, stay together."""
+    if parts == 1:
+        return [df]
+    place = F.pmod(F.coalesce(number, F.lit(0)), F.lit(parts))
+    return [df.where(place == part) for part in range(parts)]
+
+
+def day_parts(df: DataFrame, day: str, parts: int) -> list[DataFrame]:
+    """``df`` as several frames of whole days, rows of no day in one of them."""
+    return in_parts(df, F.unix_date(F.col(day)), parts)
+
+
+class Scratch:
+    """An intermediate table in the shared folder, written at once or part by part, and dropped when it
+    is not read any more, at the latest when the application ends."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.path, self._schema = spark, scratch_path(spark, label), None
+
+    def add(self, df: DataFrame, by: tuple[str, ...] = ()) -> Scratch:
+        write_parquet(df, self.path, "append", by)
+        self._schema = self._schema or df.schema
+        return self
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self._schema).parquet(self.path)
+
+    def bytes(self) -> int:
+        return folder_bytes(self.spark, self.path)
+
+    def drop(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a scratch table and read back."""
+    return Scratch(df.sparkSession, label).add(df).read()
+
 
 @dataclass(frozen=True)
 class Cover:
@@ -107,6 +166,10 @@ class Warehouse:
         metrics, stays exact when tasks are run again after a lost executor."""
         return self.read(table).count()
 
+    def bytes(self, table: str) -> int:
+        """Size of the live versions' files."""
+        return sum(folder_bytes(self.spark, self._folder(table, version)) for version in self.versions(table))
+
     def versions(self, table: str) -> list[str]:
         """The versions that readers see, oldest first."""
         return [version for version, _ in self._entries(table)]
@@ -131,8 +194,9 @@ class Warehouse:
 
     # --- writing ------------------------------------------------------------------------------
 
-    def overwrite(self, table: str, df: DataFrame) -> None:
-        """Replace the whole table; running it twice leaves one copy."""
+    def overwrite(self, table: str, df: DataFrame | Iterable[DataFrame]) -> None:
+        """Replace the whole table; running it twice leaves one copy. Here and in ``replace``, several
+        frames are written one after the other and published as one version."""
         self._write(table, df, Cover(everything=True))
 
     def replace_days(self, table: str, df: DataFrame, start: str, end: str, loose: bool = False) -> None:
@@ -140,7 +204,7 @@ class Warehouse:
         ``df``, whose rows lie there. Days that ``df`` does not hold end up empty."""
         self._write(table, df, Cover(ranges=((start, end),), loose=loose))
 
-    def replace(self, table: str, df: DataFrame, cover: Cover) -> None:
+    def replace(self, table: str, df: DataFrame | Iterable[DataFrame], cover: Cover) -> None:
         """Replace the rows that ``cover`` names by ``df``, whose rows lie there."""
         self._write(table, df, cover)
 
@@ -163,23 +227,22 @@ class Warehouse:
         for number in numbers[:-manifests]:
             system.delete(self._files(self._manifest_path(table, number))[1], False)
 
-    def _write(self, table: str, df: DataFrame, cover: Cover) -> None:
+    def _write(self, table: str, df: DataFrame | Iterable[DataFrame], cover: Cover) -> None:
         numbers = self._numbers(table)
         number = numbers[-1] + 1 if numbers else 1
         version = f"{number:08d}-{uuid.uuid4().hex[:8]}"
         day = self._day(table)
-        rows = df if day is None or day in df.columns else df.withColumn(day, F.lit(None).cast("date"))
-        rows = rows.select(*self._columns(table))
-        if table in self.by_day:
-            # Rows of a day meet in few tasks, so few files; adaptive execution splits a hot
-            # day over several tasks and merges small ones.
-            rows = rows.hint("rebalance", day)
-            if table in _SORTED:
-                rows = rows.sortWithinPartitions(day, *_SORTED[table])
-            writer = rows.write.partitionBy(day)
-        else:
-            writer = rows.write
-        writer.parquet(self._folder(table, version))
+        for part in [df] if isinstance(df, DataFrame) else df:
+            rows = part if day is None or day in part.columns else part.withColumn(day, F.lit(None).cast("date"))
+            rows = rows.select(*self._columns(table))
+            if table in self.by_day:
+                # Rows of a day meet in few tasks, so few files; adaptive execution splits a hot
+                # day over several tasks and merges small ones.
+                rows = rows.hint("rebalance", day)
+                if table in _SORTED:
+                    rows = rows.sortWithinPartitions(day, *_SORTED[table])
+            by = (day,) if table in self.by_day else ()
+            write_parquet(rows, self._folder(table, version), "append", by)
         before = [] if cover.everything else self._entries(table)
         self._publish(table, number, [*[e for e in before if not cover.contains(e[1])], (version, cover)])
 

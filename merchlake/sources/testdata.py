@@ -46,11 +46,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     buyers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    wide = (
-        lines.join(heads, lines.l_orderkey == heads.o_orderkey)
-        .join(buyers, heads.o_custkey == buyers.c_custkey)
-        .join(nations, buyers.c_nationkey == nations.n_nationkey)
+    # Buyers join the orders, which are fewer than their lines, so that lines move once.
+    bought = heads.join(buyers, heads.o_custkey == buyers.c_custkey).join(
+        nations, buyers.c_nationkey == nations.n_nationkey
     )
+    wide = lines.join(bought, lines.l_orderkey == bought.o_orderkey)
     return wide.selectExpr(
         "cast(l_orderkey as string) AS order_id",
         """case when h < 15 then 'no time'
