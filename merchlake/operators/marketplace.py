@@ -137,11 +137,11 @@ def convert_orders(tables: dict[str, DataFrame]) -> DataFrame:
     buyers = tables["customers"].select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
+    # Buyers join the orders, which are fewer than their items.
     wide = (
         item_rollup(tables["items"])
-        .join(orders, "order_id")
+        .join(orders.join(buyers, "customer_id"), "order_id")
         .join(main_payment(tables["payments"]), "order_id", "left")
-        .join(buyers, "customer_id")
     )
     return wide.select(
         "order_id",

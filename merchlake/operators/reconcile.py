@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ from merchlake.functions.measures import rollup_measures
 MONEY = "decimal(24,2)"
 
 
+# Stores a frame under a label and reads it back, or leaves it as it is. With one that stores, every
+# result is had on its own, instead of all of them in one plan whose shuffles lie on disk together.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def as_it_is(df: DataFrame, label: str) -> DataFrame:
+    return df
+
+
 def facts(one_row: DataFrame, **columns: Column) -> DataFrame:
     """A one-row aggregate as (metric, value) rows, so that facts of several frames can be
     stacked and compared without a join."""
@@ -111,10 +122,10 @@ def consistency(
     return check_rows(spread(stacked, metrics), checks, ("item", "ads_value", "detail_value"))
 
 
-def row_counts(tables: dict[str, DataFrame], metric: str) -> DataFrame:
+def row_counts(tables: dict[str, DataFrame], metric: str, keep: Keep = as_it_is) -> DataFrame:
     """Rows of several tables added up to one fact."""
     n = F.count(F.lit(1)).alias("n")
-    counts = stack(*[df.agg(n) for df in tables.values()])
+    counts = stack(*[keep(df.agg(n), "count") for df in tables.values()])
     return facts(counts.agg(F.sum("n").alias("n")), **{metric: F.col("n")})
 
 
@@ -196,11 +207,14 @@ def digests(a: DataFrame, b: DataFrame, part: Column) -> DataFrame:
     )
 
 
-def compare_tables(first: dict[str, DataFrame], second: dict[str, DataFrame], ignore: set[str]) -> DataFrame:
+def compare_tables(
+    first: dict[str, DataFrame], second: dict[str, DataFrame], ignore: set[str], keep: Keep = as_it_is
+) -> DataFrame:
     """Per table: rows on both sides and how many do not pair up, over all columns but ``ignore``.
 
     Sides are compared by digests first, per day where a table has days; only rows of parts that
-    differ are then compared with each other, so rows that agree never meet in an exchange.
+    differ are then compared with each other, so rows that agree never meet in an exchange. With a
+    ``keep`` that stores the digests, the planner knows how few parts differ before it joins them.
     """
     reports = []
     for name, a in first.items():
@@ -211,7 +225,7 @@ def compare_tables(first: dict[str, DataFrame], second: dict[str, DataFrame], ig
         if "stat_date" in columns:
             part = F.datediff("stat_date", F.lit("1970-01-01")).cast("bigint")
         part = F.coalesce(part, F.lit(-(1 << 62)))
-        sums = digests(left, right, part)
+        sums = keep(digests(left, right, part), "digests")
         differing = sums.where(~F.col("agree")).select("part")
         unpaired = differing_rows(
             left.withColumn("part", part).join(differing, "part", "left_semi").drop("part"),
@@ -304,16 +318,16 @@ def level_facts(
     trend: DataFrame,
     category: DataFrame,
     overview: DataFrame,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
-    """Rows, money and order counts of every level as facts."""
+    """Rows, money and order counts of every level as facts. Those of the source are not kept."""
     c = F.col
     n = F.count(F.lit(1)).alias("n")
 
     def kpi(code: str) -> Column:
         return F.max(F.when(c("kpi_code") == code, c("kpi_value"))).alias(code)
 
-    return stack(
-        raw_facts(market),
+    levels = [
         facts(
             converted.agg(n, F.sum(c("pay_amount").try_cast(S.PAY)).alias("pay")),
             converted_rows=c("n"),
@@ -339,7 +353,8 @@ def level_facts(
             overview_orders=c("ORDER_CNT"),
             overview_valid_orders=c("VALID_ORDER_CNT"),
         ),
-    )
+    ]
+    return stack(raw_facts(market), *[keep(level, "facts") for level in levels])
 
 
 def reconcile_levels(stacked: DataFrame, unit: str = "BRL") -> DataFrame:
